@@ -42,3 +42,36 @@ def lookup_join(rows: DataFrame, dictionary: DataFrame, on: list[str], n_diction
     for part in parts:
         out = out.unionByName(part)
     return out
+
+
+def salted_join(left: DataFrame, right: DataFrame, on: list[str], n_right: int, broadcast_rows: int = BROADCAST_ROWS, salts: int = 16) -> DataFrame:
+    """Inner equi-join where a key of ``left`` may hold a third of its rows and ``right`` is the smaller side.
+
+    A right side of checked size is broadcast. A larger one is copied once per salt and the left rows
+    of a key are dealt over the salts, so each task gets a sixteenth of a hot key at most.
+    """
+    if n_right <= broadcast_rows:
+        return left.join(F.broadcast(right), on)
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    copied = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(copied, [*on, "_salt"]).drop("_salt")
+
+
+def block_join(left: DataFrame, right: DataFrame, on: list[str], block_rows: int = 2_000, most_hot: int = 20_000) -> DataFrame:
+    """All pairs of ``left`` and ``right`` rows with equal keys, for pairs that a caller must inspect whole.
+
+    A key with more than ``block_rows`` rows (or one in ``most_hot`` of all rows, so that at most
+    ``most_hot`` keys count as hot and their list is bounded) is cut into blocks: left block i meets right
+    block j in a task of its own, so no task holds more than one pair of blocks of a key. The
+    columns of both sides must differ except for ``on``.
+    """
+    total = right.count()
+    hot = right.groupBy(*on).count().filter((F.col("count") > block_rows) & (F.col("count") * most_hot > total))
+    hot = hot.select(*on, F.ceil(F.col("count") / block_rows).cast("int").alias("_blocks"))
+
+    def cut(df: DataFrame, mine: str, other: str) -> DataFrame:
+        own = [c for c in df.columns if c not in on]
+        known = df.join(F.broadcast(hot), on, "left").withColumn("_blocks", F.coalesce("_blocks", F.lit(1)))
+        return known.withColumn(mine, F.pmod(F.xxhash64(*own), F.col("_blocks")).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).drop("_blocks")
+
+    return cut(left, "_i", "_j").join(cut(right, "_j", "_i"), [*on, "_i", "_j"]).drop("_i", "_j")

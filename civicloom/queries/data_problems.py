@@ -8,10 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from civicloom.functions.text import loose_key
+from civicloom.operators.drift import field_changes, field_lines, long_path_values, path_statistics, registered, typed_values
 from civicloom.operators.intervals import periods_and_gaps
 from civicloom.operators.parsing import Layout, Rule, failed, matching, number_between, parse_lines, real_date, typed
 from civicloom.operators.references import Reference, dangling, dangling_counts
-from civicloom.session import table
+from civicloom.operators.spatial import containing_regions, located, near_pairs
+from civicloom.session import stage, table
+
+LAST_RELEASE = 2025
+NEAR_METRES = 250.0
 
 # The columns of each kind of line, in file order.
 CONTRIBUTION = (
@@ -117,6 +122,46 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return periods_and_gaps(terms, ["person_id", "role"], "start_date", "end_date").select("person_id", "role", "kind", "start_date", "end_date")
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    """Offices near each other and the regions that contain them."""
+    offices = located(table(spark, d, "profile_office"), "office_key", "latitude", "longitude")
+    regions = table(spark, d, "tiger_feature").select(F.concat_ws(":", "layer", "geoid").alias("region"), "geom")
+    near = near_pairs(offices, NEAR_METRES).select(F.lit("near").alias("relation"), "key_a", "key_b")
+    within = containing_regions(offices, regions, "region", "geom").select(F.lit("within").alias("relation"), F.col("key").alias("key_a"), F.col("region").alias("key_b"))
+    return near.unionByName(within)
+
+
+def _drift(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    facts = table(spark, d, "acs_bulk_estimate")
+    maps = long_path_values(facts, ["release_year"], "field_id", "value", ["table_id", "measure"])
+    statistics = path_statistics(maps, ["release_year"], ["table_id", "measure"])
+    releases = stage(registered(table(spark, d, "dataset_field"), LAST_RELEASE), "releases")
+    return releases, field_changes(releases, LAST_RELEASE, statistics, "bulk.acs5"), statistics
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    """Every change of a field from release to release."""
+    return _drift(spark, d)[1].select("dataset_id", "change", "field_id", "new_field_id", F.col("release_year").cast("int").alias("release_year"))
+
+
+def _one_table(spark: SparkSession, d: str) -> DataFrame:
+    releases, changes, _ = _drift(spark, d)
+    lines = stage(field_lines(releases, stage(changes, "changes")).filter("dataset_id = 'bulk.acs5'"), "lines")
+    keep = ["acs_bulk_estimate_id", "geography_id", "table_id", "measure"]
+    maps = long_path_values(table(spark, d, "acs_bulk_estimate"), ["release_year"], "field_id", "value", keep)
+    return typed_values(maps, ["release_year"], lines, lines.count(), keep)
+
+
+def p7_table(spark: SparkSession, d: str) -> DataFrame:
+    """The estimates of all releases in one table, under the id each field has at last, typed."""
+    return _one_table(spark, d)
+
+
+def p7_failed_casts(spark: SparkSession, d: str) -> DataFrame:
+    """Values that aren't of the registered type, per release and field."""
+    return _one_table(spark, d).groupBy("release_year", "field_id", "item_type").agg(F.count("*").alias("n"), F.count_if("failed").alias("n_failed")).filter("n_failed > 0")
+
+
 QUERIES = {
     "p2_found": p2_found,
     "p2_counts": p2_counts,
@@ -124,7 +169,11 @@ QUERIES = {
     "p4_reasons": p4_reasons,
     "p4_valid_members": p4_valid_members,
     "p4_valid_contributions": p4_valid_contributions,
+    "p5_found": p5_found,
     "p6_found": p6_found,
+    "p7_found": p7_found,
+    "p7_table": p7_table,
+    "p7_failed_casts": p7_failed_casts,
 }
 
 _KEY = "lower(trim({}, chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || ' '))"
