@@ -120,7 +120,8 @@ def field_changes(releases: DataFrame, last_release: int, statistics: DataFrame
 
     ``releases`` is as ``registered`` gives. A field that goes and one that comes are one field renamed
     when their labels have the same words (order, separators, case and abbreviations aside), or, where
-    one has no label in any release, when their ids have the same form. ``statistics`` are path
+    one has no label in any release, when their ids have the same form and the other's label has no
+    qualifier. Ids compare as written. Empty tables give no changes. ``statistics`` are path
     statistics of the data (release, path, table_id, measure): fields whose data belong to
     different tables or measures are never one. Several candidates pair off by the closest ids.
     """
@@ -137,12 +138,12 @@ def field_changes(releases: DataFrame, last_release: int, statistics: DataFrame
     r = r.withColumns({"prev": F.lag("release").over(inorder), "prev_type": F.lag("type").over(inorder), "next": F.lead("release").over(inorder)}).join(begins, "dataset_id")
     kept = F.col("prev") == F.col("release") - 1
     retyped = r.filter(kept & ~F.col("type").eqNullSafe(F.col("prev_type"))).select("dataset_id", F.lit("retyped").alias("change"), "field_id", F.col("field_id").alias("new_field_id"), F.col("release").alias("release_year"))
-    detail = [words_of(F.col("label")).alias("words"), F.coalesce(_line_form(F.col("field_id")), _id_form(F.col("field_id"))).alias("form"), "source"]
+    detail = [words_of(F.col("label")).alias("words"), F.coalesce(_line_form(F.col("field_id")), _id_form(F.col("field_id"))).alias("form"), "source", "label"]
     comes = r.filter(~F.coalesce(kept, F.lit(False)) & (F.col("release") > F.col("first"))).select("dataset_id", F.col("release").alias("y"), "field_id", *detail)
     goes = r.filter((F.col("release") < last_release) & ~F.coalesce(F.col("next") == F.col("release") + 1, F.lit(False))).select("dataset_id", (F.col("release") + 1).alias("y"), "field_id", *detail)
 
     initials = F.concat_ws("", F.array_sort(F.transform("words", lambda w: F.substring(w, 1, 1))))
-    side = lambda df, s: df.select("dataset_id", "y", *[F.col(c).alias(f"{c}_{s}") for c in ("field_id", "words", "form", "source")], F.explode(F.array(F.concat(F.lit("w"), F.coalesce(initials, F.lit(""))), F.concat(F.lit("i"), "form"))).alias("block"))
+    side = lambda df, s: df.select("dataset_id", "y", *[F.col(c).alias(f"{c}_{s}") for c in ("field_id", "words", "form", "source", "label")], F.explode(F.array(F.concat(F.lit("w"), F.coalesce(initials, F.lit(""))), F.concat(F.lit("i"), "form"))).alias("block"))
 
     @F.pandas_udf("boolean")
     def same_words(a: pd.Series, b: pd.Series) -> pd.Series:
@@ -150,7 +151,11 @@ def field_changes(releases: DataFrame, last_release: int, statistics: DataFrame
 
     met = side(goes, "old").join(side(comes, "new"), ["dataset_id", "y", "block"]).filter(~F.coalesce(F.col("source_old") != F.col("source_new"), F.lit(False)))
     unlabelled = F.col("words_old").isNull() | F.col("words_new").isNull()
-    agree = met.withColumn("same", F.when(unlabelled, F.col("form_old") == F.col("form_new")).otherwise(same_words("words_old", "words_new"))).filter("same")
+    plain = F.coalesce(~F.coalesce("label_old", "label_new").rlike(r"\([^()]*\)\W*$"), F.lit(True))  # a bracket at the end is a qualifier, of which the id tells nothing
+    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
+    spelled = F.coalesce(F.levenshtein(letters(F.when(F.col("words_old").isNull(), F.col("form_old")).otherwise(F.col("form_new"))), letters(F.array_join(F.coalesce("words_old", "words_new"), ""))) <= 3, F.lit(True))
+    by_id = (F.col("form_old") == F.col("form_new")) & plain & (F.contains("form_old", F.lit("|")) | spelled)
+    agree = met.withColumn("same", F.when(unlabelled, by_id).otherwise(same_words("words_old", "words_new"))).filter("same")
     scored = agree.withColumn("exact", F.coalesce(F.col("words_old") == F.col("words_new"), F.lit(False))).withColumn("apart", F.levenshtein("form_old", "form_new"))
     scored = scored.groupBy("dataset_id", "y", "field_id_old", "field_id_new").agg(F.max("exact").alias("exact"), F.min("apart").alias("apart"))
     best = lambda mine, other: F.row_number().over(Window.partitionBy("dataset_id", "y", mine).orderBy(F.desc("exact"), "apart", other))
