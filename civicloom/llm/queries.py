@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicloom.llm.matching import match
 from civicloom.llm.packing import pack
 from civicloom.llm.reading import fit, reading_levels
 from civicloom.llm.tokens import encode
@@ -47,5 +48,44 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
     return _levels(spark, d)
 
 
-QUERIES = {"p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_levels": p10_levels}
+def state_codes(spark: SparkSession, d: str) -> dict[str, str]:
+    """Letter code of each state by its name and its number (states are few: a code has two letters)."""
+    states = table(spark, d, "tiger_feature").filter("layer = 'state'").select(F.get_json_object("raw", "$.STUSPS").alias("code"), F.lower("name").alias("name"), "state_fips").distinct()
+    rows = states.filter(F.length("code") == 2).limit(26 * 26 * 4).collect()
+    return {k: r["code"] for r in rows for k in (r["name"], str(int(r["state_fips"])) if r["state_fips"] else None, r["code"].lower()) if k}
+
+
+def people(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The people of both sources as records to match: by bioguide, and by icpsr."""
+    book = F.create_map(*[F.lit(x) for kv in state_codes(spark, d).items() for x in kv]) if state_codes(spark, d) else F.lit(None).cast("map<string,string>")
+    code = lambda c: F.try_element_at(book, F.lower(F.trim(c)))
+    staged = table(spark, d, "legislator_stage").filter(F.col("bioguide").isNotNull())
+    left = staged.groupBy(F.col("bioguide").alias("id")).agg(
+        F.array_sort(F.collect_set(F.concat("full_name", F.lit("\t"), F.coalesce("family_name", F.lit(""))))).alias("names"),
+        F.array_sort(F.collect_set(F.year("birthday"))).alias("years"), F.array_sort(F.collect_set(code(F.col("state")))).alias("states"), F.array_sort(F.collect_set("chamber")).alias("chambers"),
+        F.min(F.year("first_term_start")).alias("first_year"), F.max(F.year("first_term_start")).alias("last_year"), F.array().cast("array<string>").alias("ids"),
+    )
+    chamber = F.when(F.lower("chamber") == "senate", "sen").when(F.lower("chamber") == "house", "rep")
+    seen = table(spark, d, "voteview_member").filter(F.col("icpsr").isNotNull())
+    # A year or state counts once per congress, so that a slip in one congress can be told from the rest.
+    right = seen.groupBy(F.col("icpsr").alias("id")).agg(
+        F.array_sort(F.collect_set("bioname")).alias("names"), F.array_sort(F.collect_set(F.col("born").cast("int"))).alias("years"),
+        F.array_distinct(F.flatten(F.array(F.array_sort(F.collect_set(code(F.col("state_abbrev")))), F.array_sort(F.collect_set(code(F.col("state_icpsr").cast("string"))))))).alias("states"),
+        F.array_sort(F.collect_set(chamber)).alias("chambers"), F.min(F.col("congress") * 2 + 1787).alias("first_year"), F.max(F.col("congress") * 2 + 1787).alias("last_year"),
+        F.array_sort(F.collect_set(F.when(F.trim("bioguide_id") != "", F.trim("bioguide_id")))).alias("ids"),
+    )
+    return left, right
+
+
+def p1_pairs(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of bioguide and icpsr that denote the same person, with the confidence."""
+    return match(*people(spark, d)).select(F.col("a").alias("bioguide"), F.col("b").alias("icpsr"), "confidence")
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of bioguide and icpsr that denote the same person."""
+    return p1_pairs(spark, d).select("bioguide", "icpsr").distinct()
+
+
+QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_levels": p10_levels}
 ORACLE: dict[str, str] = {}

@@ -20,7 +20,7 @@ MAX_WORDS, LEAST_DOCS = 50_000, 3
 ENDING_SHARE, LEAST_ENDINGS = 0.005, 8
 ENDING_CHARS = 400
 
-_LINES = re.compile(r"[\r\n\v\f\x85  ]+")
+_LINES = re.compile("[\r\n\v\f\x85" + chr(0x2028) + chr(0x2029) + "]+")
 _SENTENCE = re.compile(r"(?<=[.!?])[\"')\]]*\s+(?=[\"'(\[]*[A-Z0-9])")
 _WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
 _MARKED = re.compile(r"^\s*(?:[*•\-–—+o·▪]\s|\d+[.)]\s|\|)")
@@ -47,9 +47,11 @@ def sentences_of(text: str, endings: frozenset[str]) -> list[list[str]]:
     """
     lines = [x.strip() for x in _LINES.split(plain(text))]
     prose = [x for x in lines if len(x.split()) > 3 and not _MARKED.match(x) and x.rstrip("\"')]").endswith((".", "!", "?"))]
+    while prose and ending_key(prose[-1]) in endings:
+        prose.pop()
     found = [s for x in prose for s in _SENTENCE.split(x)]
-    while found and (ending_key(found[-1]) in endings):
-        found.pop()
+    while found and (ending_key(found[-1]) in endings or ending_key("".join(found[-2:])) in endings):
+        del found[-1 if ending_key(found[-1]) in endings else -2 :]
     if not found:
         found = [s for x in lines for s in _SENTENCE.split(x)]
     words = [w for s in found if (w := _WORD.findall(s))]
@@ -153,16 +155,20 @@ def rank_weights(rows: np.ndarray, grades: np.ndarray, least: float = 1.0, pairs
     return w
 
 
-def _ending(text: Column) -> Column:
-    tail = F.right(F.rtrim(F.regexp_replace(F.right(text, F.lit(2 * ENDING_CHARS)), r"\s+", " ")), F.lit(ENDING_CHARS))
-    return F.lower(F.regexp_replace(F.element_at(F.split(tail, r"(?<=[.!?\])])\s+(?=[A-Z(])", -1), -1), "[^A-Za-z]", ""))
+def _endings(text: Column) -> Column:
+    """The last line, the last sentence and the last two sentences of a text, letters only."""
+    tail = F.right(F.rtrim(F.regexp_replace(F.right(text, F.lit(2 * ENDING_CHARS)), r"\s+$", "")), F.lit(ENDING_CHARS))
+    line = F.element_at(F.split(tail, r"[\r\n]+", -1), -1)
+    parts = F.split(line, r"(?<=[.!?\])])\s+(?=[A-Z(])", -1)
+    letters = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z]", ""))
+    return F.array_distinct(F.array(letters(line), letters(F.element_at(parts, -1)), letters(F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - 1), 2), ""))))
 
 
 def frequent_endings(docs: DataFrame, text: str) -> frozenset[str]:
-    """Last sentences that close so many texts that they are footers; at most 1 / ENDING_SHARE of them."""
-    counts = docs.filter(F.length(F.trim(text)) > 0).groupBy(_ending(F.col(text)).alias("e")).agg(F.count("*").alias("n"))
-    total = docs.filter(F.length(F.trim(text)) > 0).count()
-    floor = max(LEAST_ENDINGS, ENDING_SHARE * total)
+    """Ends of texts that close so many of them that they are footers; at most 3 / ENDING_SHARE of them."""
+    ended = docs.filter(F.length(F.trim(text)) > 0)
+    counts = ended.select(F.explode(_endings(F.col(text))).alias("e")).groupBy("e").agg(F.count("*").alias("n"))
+    floor = max(LEAST_ENDINGS, ENDING_SHARE * ended.count())
     return frozenset(r["e"] for r in counts.filter((F.col("n") >= floor) & (F.col("e") != "")).collect())
 
 
