@@ -16,7 +16,7 @@ from civicloom.session import stage
 
 #: The features, each a likeness from 0 to 1 of which 0.5 means unknown. Their steps are few (tenths at
 #: most), so distinct vectors are bounded by their product however many pairs there are.
-FEATURES = ["last", "first", "middle", "birth", "state", "chamber", "time", "identifier", "suffix"]
+FEATURES = ["last", "first", "middle", "birth", "state", "chamber", "time", "identifier", "suffix", "unclashed"]
 ENTITY = "id string, names array<string>, years array<int>, states array<string>, chambers array<string>, first_year int, last_year int, ids array<string>"
 
 
@@ -47,7 +47,8 @@ def _keys(row: object, left: bool) -> set[str]:
     firsts = _firsts(names)
     initials = {n.first[0] for n in names if n.first}
     middles = {n.middle[0][0] for n in names if n.middle} or {"-"}
-    start = row.first_year if row.first_year and row.first_year > 0 else None
+    start = int(row.first_year) if row.first_year and row.first_year > 0 else None
+    initialled = any(len(n.first) < 2 for n in names)
     for last in lasts:
         keys |= {f"A|{last}|{f}|{s}" for f in firsts for s in states}
         keys |= {f"B|{last}|{f}|{y}" for f in firsts for y in near}
@@ -56,6 +57,14 @@ def _keys(row: object, left: bool) -> set[str]:
         keys |= {f"J|{last}|{i}|{m}|{s}" for i in initials for m in middles for s in states}
         keys |= {f"K|{last}|{i}|{m}|{y}" for i in initials for m in middles for y in near}
         lacking = not years or not states
+        # Where one side has but an initial, or lacks a year or state, less must do; only that side is loose.
+        loose = {f"|{last}|{i}|{x}" for i in initials for x in (*states, *near)} if initialled else set()
+        keys |= {f"M{k}" for k in loose} if left else {f"N{k}" for k in loose}
+        keys |= {f"{'N' if left else 'M'}|{last}|{i}|{x}" for i in initials for x in (*states, *near)}
+        if lacking or not left:
+            keys |= {f"O|{last}|{i}|{m}" for i in initials for m in middles}
+        if lacking or left:
+            keys |= {f"P|{last}|{i}|{m}" for i in initials for m in middles}
         for f in firsts:
             if not left or lacking:
                 keys.add(f"H|{last}|{f}")
@@ -104,7 +113,7 @@ def _name_likeness(left: list[Name], right: list[Name]) -> tuple[float, float, f
         last = likeness(a.last, b.last)
         if last < 0.9 and ({a.last, *a.also} & {b.last, *b.also}):
             last = 0.9
-        suffix = 0.6 if not a.suffix and not b.suffix else 0.5 if not a.suffix or not b.suffix else 1.0 if a.suffix == b.suffix else 0.0
+        suffix = 0.6 if not a.suffix and not b.suffix else 0.4 if not a.suffix or not b.suffix else 1.0 if a.suffix == b.suffix else 0.0
         found = (last, _first_likeness(a, b), _middle_likeness(a, b), suffix)
         if (found[0] + found[1], found[2] + found[3]) > (best[0] + best[1], best[2] + best[3]):
             best = found
@@ -134,15 +143,18 @@ def compare(a: object, b: object, cross: bool) -> list[float]:
     """The features of a pair: of records of both sources, or (``cross`` false) of two of the second."""
     last, first, middle, suffix = _name_likeness(_parsed(a.names), _parsed(b.names))
     sets = lambda x, y: 0.5 if not x or not y else 1.0 if set(x) & set(y) else 0.0
-    own = [i.lower() for i in (_values(b.ids) if cross else _values(b.ids))]
+    own = [i.lower() for i in _values(b.ids)]
     if cross:
         hits = own.count(a.id.lower())
         identifier = 0.5 if not own else 1.0 if hits * 2 > len(own) else 0.7 if hits else 0.2
         time = _time_likeness(a.first_year, b.first_year)
     else:
         identifier = sets([i.lower() for i in _values(a.ids)], own)
-        time = 0.8
-    return [last, first, middle, _birth_likeness(_values(a.years), _values(b.years)), sets(_values(a.states), _values(b.states)), sets(_values(a.chambers), _values(b.chambers)), time, identifier, suffix]
+        # One person holds one number at a time.
+        time = 0.0 if a.first_year <= b.last_year and b.first_year <= a.last_year else 0.8
+    birth = _birth_likeness(_values(a.years), _values(b.years))
+    unclashed = 0.0 if birth == 0 else 0.5 if middle == 0 or suffix == 0 else 1.0
+    return [last, first, middle, birth, sets(_values(a.states), _values(b.states)), sets(_values(a.chambers), _values(b.chambers)), time, identifier, suffix, unclashed]
 
 
 def similarity(pairs: DataFrame, left: DataFrame, right: DataFrame, cross: bool = True) -> DataFrame:
@@ -179,7 +191,7 @@ class Mixture:
     constant among the matches can't decide alone.
     """
 
-    def __init__(self, spread: float = 0.08, shrink: float = 0.3, floor: float = 0.01) -> None:
+    def __init__(self, spread: float = 0.08, shrink: float = 0.3, floor: float = 0.02) -> None:
         self.spread, self.shrink, self.floor = spread, shrink, floor
         self.share, self.means, self.covs = 0.5, np.zeros((2, 1)), np.zeros((2, 1, 1))
 
@@ -206,7 +218,7 @@ class Mixture:
 
 
 #: Weights of the features in the first guess, from which expectation-maximisation starts.
-FIRST_GUESS = np.array([3.0, 2.5, 1.0, 2.0, 1.0, 0.5, 1.0, 1.0, 0.5])
+FIRST_GUESS = np.array([3.0, 2.5, 1.0, 2.0, 1.0, 0.5, 1.0, 1.0, 0.5, 1.0])
 
 
 def first_guess(x: np.ndarray) -> np.ndarray:
