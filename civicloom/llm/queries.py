@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from civicloom.llm.addresses import places_of, same_place_pairs
 from civicloom.llm.matching import match
 from civicloom.llm.packing import pack
 from civicloom.llm.reading import fit, reading_levels
@@ -87,5 +88,20 @@ def p1_found(spark: SparkSession, d: str) -> DataFrame:
     return p1_pairs(spark, d).select("bioguide", "icpsr").distinct()
 
 
-QUERIES = {"p1_found": p1_found, "p1_pairs": p1_pairs, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_levels": p10_levels}
+def _places(spark: SparkSession, d: str) -> DataFrame:
+    columns = {c: c for c in ("address", "building", "suite", "city", "state", "zip")}
+    return places_of(table(spark, d, "profile_office"), "office_key", columns, state_codes(spark, d))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs of offices at the same place."""
+    return same_place_pairs(_places(spark, d)).select(F.col("key_a").alias("office_key_a"), F.col("key_b").alias("office_key_b"))
+
+
+def p3_places(spark: SparkSession, d: str) -> DataFrame:
+    """The parts of every office's address."""
+    return _places(spark, d).withColumnRenamed("key", "office_key")
+
+
+QUERIES = {"p3_found": p3_found, "p3_places": p3_places, "p1_found": p1_found, "p1_pairs": p1_pairs, "p8_ids": p8_ids, "p9_containers": p9_containers, "p9_fill": p9_fill, "p10_found": p10_found, "p10_levels": p10_levels}
 ORACLE: dict[str, str] = {}
