@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: A dictionary of at most so many rows is broadcast; its rows are keys plus a few scalars.
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 20_000
 #: A key is hot when it holds more than this share of the rows; so at most HOT_SHARE keys are hot.
 HOT_SHARE = 2_000
 
