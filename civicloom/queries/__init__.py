@@ -7,6 +7,6 @@ from types import ModuleType
 
 def families() -> list[ModuleType]:
     """The modules of this package that register queries."""
-    from civicloom.queries import data_problems
+    from civicloom.queries import data_problems, reference
 
-    return [data_problems]
+    return [reference, data_problems]
