@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -21,17 +22,23 @@ ENDING_SHARE, LEAST_ENDINGS = 0.005, 8
 ENDING_CHARS = 400
 
 _LINES = re.compile("[\r\n\v\f\x85" + chr(0x2028) + chr(0x2029) + "]+")
-_SENTENCE = re.compile(r"(?<=[.!?])[\"')\]]*\s+(?=[\"'(\[]*[A-Z0-9])")
+_SENTENCE = re.compile(r"[.!?][\"')\]]*\s+(?=[\"'(\[]*[A-Z0-9])")
 _WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
+_ASCII_WORD = re.compile(r"[A-Za-z]+(?:[-'][A-Za-z]+)*")
 _MARKED = re.compile(r"^\s*(?:[*•\-–—+o·▪]\s|\d+[.)]\s|\|)")
 _VOWELS = re.compile(r"[aeiouy]+")
 
 
+_ODD = re.compile(r"[^\x00-\x7f]+")
+
+
+def _undamaged(m: re.Match[str]) -> str:
+    return "".join(c for c in unicodedata.normalize("NFKD", m.group()) if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
+
+
 def plain(text: str) -> str:
     """The text without marks of damage: compatibility forms and accents undone, format characters gone."""
-    if text.isascii():
-        return text
-    return "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c) and unicodedata.category(c) != "Cf")
+    return text if text.isascii() else _ODD.sub(_undamaged, text)
 
 
 def ending_key(sentence: str) -> str:
@@ -54,46 +61,57 @@ def sentences_of(text: str, endings: frozenset[str]) -> list[list[str]]:
         del found[-1 if ending_key(found[-1]) in endings else -2 :]
     if not found:
         found = [s for x in lines for s in _SENTENCE.split(x)]
-    words = [w for s in found if (w := _WORD.findall(s))]
-    return words
+    pattern = _ASCII_WORD if text.isascii() else _WORD
+    return [w for s in found if (w := pattern.findall(s))]
+
+
+class Words(dict):
+    """What is known of a word: (length, syllables, itself in lower case, sum of grades, documents).
+
+    Filled as words are met; it starts afresh beyond ``MEMO`` words, so its size is bounded.
+    """
+
+    MEMO = 300_000
+
+    def __init__(self, book: dict[str, tuple[float, int]]) -> None:
+        super().__init__()
+        self.book = book
+
+    def __missing__(self, word: str) -> tuple[int, int, str, float, int]:
+        if len(self) >= self.MEMO:
+            self.clear()
+        low = word.lower()
+        found = self[word] = (len(word), len(_VOWELS.findall(low)), low, *self.book.get(low, (0.0, 0)))
+        return found
 
 
-def features(text: str, endings: frozenset[str], book: dict[str, tuple[float, int]], mean: float, own: float | None = None) -> list[float]:
+def features(text: str, endings: frozenset[str], words: Words, mean: float, own: float | None = None) -> list[float]:
     """Syntax and vocabulary features of one text. ``own`` is its own grade, taken out of the vocabulary's."""
     sentences = sentences_of(text, endings)
-    words = [w for s in sentences for i, w in enumerate(s) if w[0].islower() or i == 0]
-    if not words:
+    known = [words[w] for s in sentences for i, w in enumerate(s) if i == 0 or w[0].islower()]
+    if not known:
         return [0.0] * N_FEATURES
-    n, k = len(words), len(sentences)
-    sizes = np.array([len(w) for w in words])
-    low = [w.lower() for w in words]
-    known, weight = 0.0, 0.0
-    seen = []
-    for w in low:
-        total, docs = book.get(w, (0.0, 0))
-        if own is not None and docs:
-            total, docs = total - own, docs - 1
-        if docs > 0:
-            g = (total + mean) / (docs + 1)
-            known += g
-            weight += 1
-            seen.append(g)
-    spans = np.array([len(s) for s in sentences])
-    syllables = sum(len(_VOWELS.findall(w)) for w in low)
-    grade = known / weight if weight else mean
+    n, k = len(known), len(sentences)
+    if own is None:
+        grades = sorted((g + mean) / (docs + 1) for _, _, _, g, docs in known if docs)
+    else:
+        grades = sorted((g - own + mean) / docs for _, _, _, g, docs in known if docs > 1)
+    m = len(grades)
+    sizes = [f[0] for f in known]
+    spans = sorted(map(len, sentences))
     return [
-        grade,
-        float(np.quantile(seen, 0.8)) if seen else mean,
-        float(np.quantile(seen, 0.3)) if seen else mean,
-        float(sizes.mean()),
-        float((sizes >= 8).mean()),
-        float((sizes >= 11).mean()),
-        float((sizes <= 4).mean()),
-        syllables / n,
-        float(np.median(spans)),
-        float(np.log1p(spans.mean())),
-        float((spans >= 25).mean()),
-        len(set(low)) / n ** 0.5 if n else 0.0,
+        sum(grades) / m if m else mean,
+        grades[int(0.8 * (m - 1))] if m else mean,
+        grades[int(0.3 * (m - 1))] if m else mean,
+        sum(sizes) / n,
+        sum([x >= 8 for x in sizes]) / n,
+        sum([x >= 11 for x in sizes]) / n,
+        sum([x <= 4 for x in sizes]) / n,
+        sum([f[1] for f in known]) / n,
+        float(spans[k // 2]),
+        math.log1p(sum(spans) / k),
+        sum([x >= 25 for x in spans]) / k,
+        len({f[2] for f in known}) / n**0.5,
     ]
 
 
@@ -167,9 +185,11 @@ def _endings(text: Column) -> Column:
 def frequent_endings(docs: DataFrame, text: str) -> frozenset[str]:
     """Ends of texts that close so many of them that they are footers; at most 3 / ENDING_SHARE of them."""
     ended = docs.filter(F.length(F.trim(text)) > 0)
-    counts = ended.select(F.explode(_endings(F.col(text))).alias("e")).groupBy("e").agg(F.count("*").alias("n"))
-    floor = max(LEAST_ENDINGS, ENDING_SHARE * ended.count())
-    return frozenset(r["e"] for r in counts.filter((F.col("n") >= floor) & (F.col("e") != "")).collect())
+    counts = ended.select(F.explode(F.array_append(_endings(F.col(text)), F.lit("#"))).alias("e")).groupBy("e").agg(F.count("*").alias("n"))
+    # Each text has three ends and one "#", so what a share of the texts ends with is among the first few.
+    rows = {r["e"]: r["n"] for r in counts.orderBy(F.desc("n"), "e").limit(1 + math.ceil(3 / ENDING_SHARE)).collect()}
+    floor = max(LEAST_ENDINGS, ENDING_SHARE * rows.pop("#", 0))
+    return frozenset(e for e, n in rows.items() if n >= floor and e)
 
 
 def _words_of(docs: DataFrame, endings: frozenset[str]) -> DataFrame:
@@ -196,8 +216,9 @@ def fit(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "t
     mean = rated.agg(F.avg("grade")).first()[0] or 0.0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Words(book)
         for batch in batches:
-            rows = [features(t, endings, book, mean, g) for t, g in zip(batch["text"], batch["grade"])]
+            rows = [features(t, endings, words, mean, g) for t, g in zip(batch["text"], batch["grade"])]
             yield pd.DataFrame({"k": batch["_k"], "grade": batch["grade"], "n": batch["n"], "f": rows})
 
     kind = sample.schema["_k"].dataType.simpleString()
@@ -217,10 +238,11 @@ def reading_levels(docs: DataFrame, reader: Reader, key: str = "doc_id", text: s
     """(key, n_words, score, level) of each text that has a word; others have none. No shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        book = Words(reader.book)
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"]]
             words = [len(t.split()) for t in texts]
-            rows = np.array([features(t, reader.endings, reader.book, reader.mean) if n else [0.0] * N_FEATURES for t, n in zip(texts, words)]).reshape(len(texts), N_FEATURES)
+            rows = np.array([features(t, reader.endings, book, reader.mean) if n else [0.0] * N_FEATURES for t, n in zip(texts, words)]).reshape(len(texts), N_FEATURES)
             scores = reader.score(rows)
             yield pd.DataFrame({"key": batch["key"], "n_words": words, "score": scores, "level": reader.level(scores)}).loc[np.array(words, dtype=int) > 0]
 
