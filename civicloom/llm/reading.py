@@ -49,11 +49,11 @@ def ending_key(sentence: str) -> str:
 def sentences_of(text: str, endings: frozenset[str]) -> list[list[str]]:
     """The words of each sentence of the running text: no list items, table rows, headings or footers.
 
-    A line belongs to the running text if it ends like a sentence and has more than three words. If nothing is
-    left, the whole text counts.
+    A line belongs to the running text if it ends like a sentence, has more than three words and isn't all in
+    capitals. If nothing is left, the whole text counts.
     """
     lines = [x.strip() for x in _LINES.split(plain(text))]
-    prose = [x for x in lines if len(x.split()) > 3 and not _MARKED.match(x) and x.rstrip("\"')]").endswith((".", "!", "?"))]
+    prose = [x for x in lines if len(x.split()) > 3 and x != x.upper() and not _MARKED.match(x) and x.rstrip("\"')]").endswith((".", "!", "?"))]
     while prose and ending_key(prose[-1]) in endings:
         prose.pop()
     found = [s for x in prose for s in _SENTENCE.split(x)]
