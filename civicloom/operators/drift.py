@@ -6,6 +6,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from civicloom.session import stage
+
 #: What an abbreviated word of a label stands for; "" drops a word that carries no meaning.
 # Fixed values.
 WORDS = {
@@ -165,7 +167,7 @@ def field_changes(releases: DataFrame, last_release: int, statistics: DataFrame
     return retyped.unionByName(renamed).unionByName(lone(goes, "old", "removed")).unionByName(lone(comes, "new", "added"))
 
 
-def field_lines(releases: DataFrame, changes: DataFrame, rounds: int = 6) -> DataFrame:
+def field_lines(releases: DataFrame, changes: DataFrame, rounds: int = 5) -> DataFrame:
     """(dataset_id, release, field_id, item, item_type): the id a field has at last, through all renamings.
 
     Each unbroken stretch of releases under one id points to the stretch it was renamed to; pointers
@@ -179,9 +181,11 @@ def field_lines(releases: DataFrame, changes: DataFrame, rounds: int = 6) -> Dat
     links = nodes.join(renamed.withColumn("stop", F.col("to_start") - 1), ["dataset_id", "field_id", "stop"], "left").select(
         "dataset_id", "field_id", "start", F.coalesce("to_id", "field_id").alias("to_id"), F.coalesce("to_start", "start").alias("to_start")
     )
+    links = stage(links, "links")
     for _ in range(rounds):
         onward = links.select("dataset_id", F.col("field_id").alias("to_id"), F.col("start").alias("to_start"), F.col("to_id").alias("end_id"), F.col("to_start").alias("end_start"))
-        links = links.join(onward, ["dataset_id", "to_id", "to_start"]).select("dataset_id", "field_id", "start", F.col("end_id").alias("to_id"), F.col("end_start").alias("to_start"))
+        doubled = links.join(onward, ["dataset_id", "to_id", "to_start"]).select("dataset_id", "field_id", "start", F.col("end_id").alias("to_id"), F.col("end_start").alias("to_start"))
+        links = stage(doubled, "links")  # a plan that joins itself would double each round
     lines = spells.join(links, ["dataset_id", "field_id", "start"]).select("dataset_id", "release", "field_id", "type", F.col("to_id").alias("item"), F.col("to_start").alias("item_start"))
     kinds = lines.groupBy("dataset_id", "item", "item_start").agg(F.array_sort(F.collect_set("type")).alias("kinds"))
     held = F.when(F.size("kinds") == 1, F.get("kinds", F.lit(0))).when(F.array_except("kinds", F.array(F.lit("integer"), F.lit("decimal"))) == F.array().cast("array<string>"), "decimal").otherwise("text")

@@ -60,12 +60,16 @@ def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str], policy: dict[
             "add": F.coalesce(old, F.lit(0)) + F.coalesce(new, F.lit(0)), "increment": F.coalesce(old, F.lit(0)) + 1,
         }.get(how)
         if how == "merge":
-            kept = F.map_filter(F.coalesce(old, F.create_map().cast(table.schema[c].dataType)), lambda k, _, new=new: ~F.coalesce(F.map_contains_key(new, k), F.lit(False)))
-            value = F.when(new.isNull(), old).otherwise(F.map_concat(kept, new))
+            value = _merged(old, new, F.create_map().cast(table.schema[c].dataType))
         out.append(F.when(old_there & new_there, value).when(old_there, old).otherwise(new).cast(table.schema[c].dataType).alias(c))
     return both.select(*out)
 
 
+def _merged(old: Column, new: Column, empty: Column) -> Column:
+    kept = F.map_filter(F.coalesce(old, empty), lambda k, _: ~F.coalesce(F.map_contains_key(new, k), F.lit(False)))
+    return F.when(new.isNull(), old).otherwise(F.map_concat(kept, new))
+
+
 def diff_action(table: DataFrame, rows: DataFrame, keys: Sequence[str], compared: Sequence[str] | None = None) -> DataFrame:
     """The arriving rows with ``action``: insert, update or unchanged; a write can skip the unchanged."""
     compared = list(compared or [c for c in rows.columns if c not in keys])

@@ -13,7 +13,7 @@ def _part(col: Column, shape: str, i: int) -> Column:
 
 
 def chamber_code(col: Column) -> Column:
-    """A legislative district's code as geography writes it: 7 -> 007, 12a -> 12A, b -> 0B."""
+    """A legislative district's code as geography writes it: 7 -> 007, 12a -> 12A, b -> 00B."""
     shape = "^([0-9]*)([a-z])$"
     return F.when(col.rlike("^[0-9]+$"), F.lpad(col, 3, "0")).when(col.rlike(shape), F.concat(F.lpad(F.regexp_extract(col, shape, 1), 2, "0"), F.upper(F.regexp_extract(col, shape, 2))))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicloom.session import stage
+
 
 def search(df: DataFrame, condition: Column, order: list[Column], limit: int) -> tuple[DataFrame, DataFrame]:
     """(the first ``limit`` hits, a row with ``truncated``): the limit is the feature."""
@@ -30,10 +32,10 @@ def plans_due(plans: DataFrame, cursors: DataFrame, now: Column, key: str = "pla
 
 
 def linked_identifiers(pairs: DataFrame, rounds: int = 6) -> DataFrame:
-    """(id, root): ids joined by chains of pairs, each with the least id it reaches within 2**rounds steps."""
+    """(id, root): ids joined by chains of pairs, each with the least id it reaches within ``rounds`` further steps."""
     both = pairs.select(F.col("a"), F.col("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     reach = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root"))
     for _ in range(rounds):
         onward = both.join(reach.select(F.col("a").alias("b"), F.col("root").alias("r")), "b").groupBy("a").agg(F.min("r").alias("r"))
-        reach = reach.join(onward, "a", "left").select("a", F.least("root", F.coalesce("r", "root")).alias("root"))
+        reach = stage(reach.join(onward, "a", "left").select("a", F.least("root", F.coalesce("r", "root")).alias("root")), "reach")
     return reach.select(F.col("a").alias("id"), "root")
