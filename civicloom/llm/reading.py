@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+import string
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -20,6 +21,8 @@ MAX_WORDS, LEAST_DOCS = 50_000, 3
 #: An ending that closes more than this share of the texts (and LEAST_ENDINGS of them) is a footer.
 ENDING_SHARE, LEAST_ENDINGS = 0.005, 8
 ENDING_CHARS = 400
+#: Words of a heading in capitals at most, and the share of lower-case letters under which a sentence is in capitals.
+HEADING_WORDS, LOWER_SHARE = 12, 0.1
 
 _LINES = re.compile("[\r\n\v\f\x85" + chr(0x2028) + chr(0x2029) + "]+")
 _SENTENCE = re.compile(r"[.!?][\"')\]]*\s+(?=[\"'(\[]*[A-Z0-9])")
@@ -27,6 +30,7 @@ _WORD = re.compile(r"[^\W\d_]+(?:[-'’][^\W\d_]+)*")
 _ASCII_WORD = re.compile(r"[A-Za-z]+(?:[-'][A-Za-z]+)*")
 _MARKED = re.compile(r"^\s*(?:[*•\-–—+o·▪]\s|\d+[.)]\s|\|)")
 _VOWELS = re.compile(r"[aeiouy]+")
+_LOWER, _UPPER = string.ascii_lowercase.encode(), string.ascii_uppercase.encode()
 
 
 _ODD = re.compile(r"[^\x00-\x7f]+")
@@ -46,14 +50,26 @@ def ending_key(sentence: str) -> str:
     return re.sub(r"[^a-z]", "", sentence.lower())
 
 
+def in_capitals(text: str) -> bool:
+    """Whether hardly any of the letters are in lower case (a text without letters has none)."""
+    if text.isascii():
+        raw = text.encode()
+        low, high = len(raw) - len(raw.translate(None, _LOWER)), len(raw) - len(raw.translate(None, _UPPER))
+    else:
+        low, high = sum(map(str.islower, text)), sum(map(str.isupper, text))
+    return low <= LOWER_SHARE * (low + high)
+
+
 def sentences_of(text: str, endings: frozenset[str]) -> list[list[str]]:
     """The words of each sentence of the running text: no list items, table rows, headings or footers.
 
-    A line belongs to the running text if it ends like a sentence, has more than three words and isn't all in
-    capitals. If nothing is left, the whole text counts.
+    A line belongs to the running text if it ends like a sentence, has more than three words and isn't a heading
+    in capitals: a short one beside running text in mixed case. If nothing is left, the whole text counts.
     """
     lines = [x.strip() for x in _LINES.split(plain(text))]
-    prose = [x for x in lines if len(x.split()) > 3 and x != x.upper() and not _MARKED.match(x) and x.rstrip("\"')]").endswith((".", "!", "?"))]
+    prose = [x for x in lines if len(x.split()) > 3 and not _MARKED.match(x) and x.rstrip("\"')]").endswith((".", "!", "?"))]
+    if any(map(in_capitals, prose)) and any(not in_capitals(x) and ending_key(x) not in endings for x in prose):
+        prose = [x for x in prose if len(x.split()) > HEADING_WORDS or not in_capitals(x)]
     while prose and ending_key(prose[-1]) in endings:
         prose.pop()
     found = [s for x in prose for s in _SENTENCE.split(x)]
@@ -65,6 +81,12 @@ def sentences_of(text: str, endings: frozenset[str]) -> list[list[str]]:
     return [w for s in found if (w := pattern.findall(s))]
 
 
+def counted(sentence: list[str]) -> list[str]:
+    """The words that aren't names, as far as their capitals tell; in a sentence in capitals they tell nothing, so all count."""
+    plainly = [w for i, w in enumerate(sentence) if i == 0 or w[0].islower()]
+    return plainly if 2 * len(plainly) > len(sentence) or not in_capitals("".join(sentence)) else sentence
+
+
 class Words(dict):
     """What is known of a word: (length, syllables, itself in lower case, sum of grades, documents).
 
@@ -88,7 +110,7 @@ class Words(dict):
 def features(text: str, endings: frozenset[str], words: Words, mean: float, own: float | None = None) -> list[float]:
     """Syntax and vocabulary features of one text. ``own`` is its own grade, taken out of the vocabulary's."""
     sentences = sentences_of(text, endings)
-    known = [words[w] for s in sentences for i, w in enumerate(s) if i == 0 or w[0].islower()]
+    known = [words[w] for s in sentences for w in counted(s)]
     if not known:
         return [0.0] * N_FEATURES
     n, k = len(known), len(sentences)
@@ -195,7 +217,7 @@ def frequent_endings(docs: DataFrame, text: str) -> frozenset[str]:
 def _words_of(docs: DataFrame, endings: frozenset[str]) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = [(w, g) for t, g in zip(batch["text"], batch["grade"]) for w in {x.lower() for s in sentences_of(t, endings) for i, x in enumerate(s) if x[0].islower() or i == 0}]
+            out = [(w, g) for t, g in zip(batch["text"], batch["grade"]) for w in {x.lower() for s in sentences_of(t, endings) for x in counted(s)}]
             yield pd.DataFrame(out, columns=["word", "grade"])
 
     return docs.select("text", "grade").mapInPandas(run, "word string, grade double")

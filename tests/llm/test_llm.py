@@ -119,6 +119,23 @@ def test_text_itself_counts():
     assert reading.sentences_of("TITLE", frozenset()) == [["TITLE"]] and reading.sentences_of("", frozenset()) == []
 
 
+def test_texts_in_capitals_count_all_their_words(spark):
+    text = "The cat sat on the old mat, said Ann.\nIt was very warm in the house."
+    capitals = [[w.upper() for w in s] for s in reading.sentences_of(text, frozenset())]
+    footer = "Footer of the office here."
+    assert reading.sentences_of(text.upper(), frozenset()) == reading.sentences_of(f"{text.upper()}\n{footer}", frozenset({reading.ending_key(footer)})) == capitals
+    assert [reading.counted(s) for s in capitals] == capitals and reading.counted(["The", "cat", "saw", "Ann"]) == ["The", "cat", "saw"]
+    long = "THE OFFICE SHALL NOT LEND A ROOM, A CAR OR A BOAT TO ANY MEMBER WHO ASKS."
+    assert reading.sentences_of(f"SEC. 1. A SHORT TITLE.\n{text}\n{long}", frozenset())[2:] == [reading._WORD.findall(long)]
+    d = "/root/testdata/sf0.1"
+    docs = spark.read.parquet(f"{d}/documents.parquet").filter("lang = 'en'").select("doc_id", "text")
+    reader = reading.fit(docs, spark.read.parquet(f"{d}/reading_label.parquet"))
+    mixed = docs.filter("doc_id % 10 = 0 AND size(split(text, ' ')) >= 20 AND text != upper(text)")
+    levels = {x: {r.key: r.level for r in reading.reading_levels(mixed.select("doc_id", c.alias("text")), reader).collect()} for x, c in (("as is", F.col("text")), ("upper", F.upper("text")))}
+    same = [(levels["as is"][k] >= 14) == (v >= 14) for k, v in levels["upper"].items()]
+    assert len(same) > 500 and sum(same) / len(same) > 0.98
+
+
 def test_held_out_grades(spark):
     d = "/root/testdata/sf0.1"
     docs = spark.read.parquet(f"{d}/documents.parquet").filter("lang = 'en'").select("doc_id", "text")
