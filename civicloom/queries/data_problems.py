@@ -108,12 +108,26 @@ def p4_valid_members(spark: SparkSession, d: str) -> DataFrame:
     return typed(_members(spark, d), MEMBER_LAYOUT, types, ["artifact_id", "source_ordinal"])
 
 
-def p4_valid_contributions(spark: SparkSession, d: str) -> DataFrame:
-    """The valid contribution lines (indiv and oth) as typed rows."""
+def _valid_fec(spark: SparkSession, d: str, families: list[str]) -> DataFrame:
+    """The valid lines of families with the same columns as typed rows."""
     parsed = _fec(spark, d)
     types = {"transaction_dt": F.try_to_timestamp("transaction_dt", F.lit("MMddyyyy")).cast("date"), "transaction_amt": F.col("transaction_amt").try_cast("decimal(18,2)")}
-    parts = [typed(parsed, x, types, ["artifact_id", "source_ordinal", "family", "cycle"]) for x in FEC_LAYOUTS[:2]]
-    return parts[0].unionByName(parts[1])
+    return reduce(DataFrame.unionByName, [typed(parsed, x, types, ["artifact_id", "source_ordinal", "family", "cycle"]) for x in FEC_LAYOUTS if x.name in families])
+
+
+def p4_valid_contributions(spark: SparkSession, d: str) -> DataFrame:
+    """The valid contribution lines (indiv and oth) as typed rows."""
+    return _valid_fec(spark, d, ["indiv", "oth"])
+
+
+def p4_valid_to_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """The valid lines of what committees gave to candidates (pas2) as typed rows."""
+    return _valid_fec(spark, d, ["pas2"])
+
+
+def p4_valid_expenditures(spark: SparkSession, d: str) -> DataFrame:
+    """The valid lines of operating expenditures (oppexp) as typed rows."""
+    return _valid_fec(spark, d, ["oppexp"])
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
@@ -169,6 +183,8 @@ QUERIES = {
     "p4_reasons": p4_reasons,
     "p4_valid_members": p4_valid_members,
     "p4_valid_contributions": p4_valid_contributions,
+    "p4_valid_to_candidates": p4_valid_to_candidates,
+    "p4_valid_expenditures": p4_valid_expenditures,
     "p5_found": p5_found,
     "p6_found": p6_found,
     "p7_found": p7_found,

@@ -3,12 +3,13 @@ from __future__ import annotations
 import csv
 import re
 from datetime import datetime
+from decimal import Decimal
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from civicloom.operators.parsing import Layout, failed, matching, parse_lines, real_date, split_line, typed
-from civicloom.queries.data_problems import FEC_LAYOUTS, MEMBER_LAYOUT, _fec, _members
+from civicloom.queries.data_problems import FEC_LAYOUTS, MEMBER_LAYOUT, QUERIES, _fec, _members
 
 D = "/root/testdata/sf0.01"
 
@@ -53,6 +54,24 @@ def test_whole_tables_against_row_by_row_checks(spark):
         assert len(want) > 10
 
 
+def test_valid_lines_of_every_family_come_out_once(spark):
+    layouts = {x.name: x for x in FEC_LAYOUTS}
+    rows = spark.read.parquet(f"{D}/fec_row.parquet").collect()
+    want = {}
+    for r in rows:
+        if not expected_failure(r.raw, layouts[r.family], FEC):
+            fields = [f.strip(" ") for f in split_line(r.raw, "|")[0]]
+            want[r.artifact_id, r.source_ordinal] = (r.family, r.cycle, {c: f for c, f in zip(layouts[r.family].columns, fields) if f})
+    found = [r.asDict() for name in QUERIES if name.startswith("p4_valid_") and name != "p4_valid_members" for r in QUERIES[name](spark, D).collect()]
+    assert len(found) == len(want) == len({(r["artifact_id"], r["source_ordinal"]) for r in found})
+    assert {r["family"] for r in found} == set(layouts)
+    for r in found:
+        family, cycle, fields = want[r.pop("artifact_id"), r.pop("source_ordinal")]
+        assert (r.pop("family"), r.pop("cycle")) == (family, cycle) and set(r) == set(layouts[family].columns)
+        typed_row = {c: v.strftime("%m%d%Y") if c == "transaction_dt" else v for c, v in r.items() if v is not None}
+        assert typed_row.pop("transaction_amt") == Decimal(fields.pop("transaction_amt")) and typed_row == fields
+
+
 LAYOUT = Layout("x", ("a", "d"), ",", True)
 RULES = {"a": matching("^[0-9]+$", "not digits"), "d": real_date("MMddyyyy", "^[0-9]{8}$")}
 
