@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -276,13 +276,45 @@ def _fits(a: str, b: str) -> Column:
     return (F.col(a) == "") | (F.col(b) == "") | (F.col(a) == F.col(b))
 
 
+def _digits(name: str) -> Column:
+    return F.regexp_replace(name, "[^0-9]", "")
+
+
+def _names_alike() -> Callable[..., Column]:
+    @F.pandas_udf("boolean")
+    def run(a: pd.Series, b: pd.Series) -> pd.Series:
+        return pd.Series([alike(x, y) for x, y in zip(a, b)], dtype=bool)
+
+    return run
+
+
+def _code_blocks(base: Column, asks: bool) -> Column:
+    """Blocks in which a record that asks meets every record of its ``base`` whose postal code may be the same.
+
+    Known codes may differ by a digit (one of five blocks leaves it out) or in the order of the digits. Where a
+    code is unknown the states decide, equal or unknown.
+    """
+    block = lambda *parts: F.concat_ws("|", base, *[F.lit(x) if isinstance(x, str) else x for x in parts])
+    code, state = F.col("zip"), F.col("state")
+    coded = [block(str(i), F.substring(code, 1, i), F.substring(code, i + 2, 5)) for i in range(5)] + [block("any order", _sorted_letters(code))]
+
+    def stated(mark: str) -> Column:
+        one, none, every = block(mark, "in", state), block(mark, "none"), block(mark, "every")
+        return F.when(state != "", F.array(one, none if asks else every)).otherwise(F.array(every) if asks else F.array(none, every))
+
+    if asks:  # a known code meets equal and unknown ones, an unknown code meets all
+        return F.when(code != "", F.concat(F.array(*coded), stated("other unknown"))).otherwise(stated("own unknown"))
+    return F.concat(F.when(code != "", F.array(*coded)).otherwise(stated("other unknown")), stated("own unknown"))
+
+
 def same_place_pairs(places: DataFrame) -> DataFrame:
     """(key_a, key_b), key_a < key_b: the records that denote the same place.
 
     ``places`` is as ``places_of`` gives. Records are first told apart by site, the street address or
     building without the unit, so exact copies and the many offices of one building count once. Sites with
     equal keys meet by a join, so a site with any number of spellings loses none; keys that differ by slips
-    are found by sorted neighbourhoods in several orders of their components. Then the strict checks: the
+    are found by sorted neighbourhoods in several orders of their components. Sites without a city meet every
+    other of their number (or kind of building name) and postal code by a join. Then the strict checks: the
     number equal, direction, type and state equal where both are known, and, when the records are paired, the
     unit equal where both are known. A record without a street has the address its building has in others.
     Records that tell neither street nor building match nothing.
@@ -300,22 +332,28 @@ def same_place_pairs(places: DataFrame) -> DataFrame:
         joined = block_join(side(found, "a").withColumnRenamed("k_a", "a"), pairs, ["a"])
         return block_join(joined.withColumnRenamed("b", "k"), side(found, "b").withColumnRenamed("k_b", "k"), ["k"])
 
+    def both_ways(df: DataFrame, *parts: str) -> DataFrame:
+        turned = [F.struct(*[F.col(f"{c}_{x}").alias(f"{c}_{y}") for c in parts for x, y in zip(w, "ab")]) for w in ("ab", "ba")]
+        return df.select(F.explode(F.array(*turned)).alias("p")).select("p.*")
+
     agree = _fits("direction_a", "direction_b") & _fits("kind_a", "kind_b") & _fits("state_a", "state_b")
     by_street = meet(streets, _key_pairs(named(streets, "core", F.col("number")), True)).filter(agree).select("site_a", "site_b")
-    # A record without a city meets those of its street whose postal code isn't another.
-    digits = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
-    one_code = (F.col("zip_a") == "") | (F.col("zip_b") == "") | (F.levenshtein("zip_a", "zip_b") <= 1) | (digits("zip_a") == digits("zip_b"))
-    code = lambda df, s: side(df.withColumn("k", F.concat_ws(" ", "number", "core")), s).withColumnRenamed(f"k_{s}", "k")
-    by_code = block_join(code(streets.filter("city = ''"), "a"), code(streets, "b"), ["k"]).filter(agree & one_code).select("site_a", "site_b")
-    address = stage(by_street.unionByName(by_code).unionByName(by_code.select(F.col("site_b").alias("site_a"), F.col("site_a").alias("site_b"))).distinct(), "address-pairs")
+    # A record without a city meets those of its street, slips included, whose postal code isn't another.
+    one_code = (F.col("zip_a") == "") | (F.col("zip_b") == "") | (F.levenshtein("zip_a", "zip_b") <= 1) | (_sorted_letters(F.col("zip_a")) == _sorted_letters(F.col("zip_b")))
+    at_street = F.concat_ws("|", "number", _digits("core"))
+    code = lambda df, s, asks: side(df.withColumn("k", F.explode(_code_blocks(at_street, asks))), s).withColumnRenamed(f"k_{s}", "k")
+    met = block_join(code(streets.filter("city = ''"), "a", True), code(streets, "b", False), ["k"]).filter(agree & one_code & (F.levenshtein("core_a", "core_b") <= 4))
+    by_code = both_ways(met.filter(_names_alike()("core_a", "core_b")), "site")
+    address = stage(by_street.unionByName(by_code).distinct(), "address-pairs")
 
     no_conflict = (F.col("number_a") == "") | (F.col("number_b") == "") | (F.col("core_a") == "") | (F.col("core_b") == "")
     one_street = (F.col("number_a") == F.col("number_b")) & (F.levenshtein("core_a", "core_b") <= 2) & _fits("direction_a", "direction_b") & _fits("kind_a", "kind_b")
     by_house = meet(houses, _key_pairs(named(houses, "building", F.lit("")), False)).filter(_fits("state_a", "state_b") & (no_conflict | one_street))
-    house_code = lambda df, s: side(df.withColumn("k", F.col("building")), s).withColumnRenamed(f"k_{s}", "k")
-    house_by_code = block_join(house_code(houses.filter("city = ''"), "a"), house_code(houses, "b"), ["k"]).filter(_fits("state_a", "state_b") & one_code & (F.col("zip_a") != "") & (no_conflict | one_street))
-    house = by_house.select("site_a", "site_b", "core_a", "core_b").unionByName(house_by_code.select("site_a", "site_b", "core_a", "core_b"))
-    house = house.unionByName(house.select(F.col("site_b").alias("site_a"), F.col("site_a").alias("site_b"), F.col("core_b").alias("core_a"), F.col("core_a").alias("core_b")))
+    at_house = F.concat_ws("|", F.size(F.split("building", "_")).cast("string"), _digits("building"))
+    house_code = lambda df, s, asks: side(df.withColumn("k", F.explode(_code_blocks(at_house, asks))), s).withColumnRenamed(f"k_{s}", "k")
+    coded = block_join(house_code(houses.filter("city = '' and zip != ''"), "a", True), house_code(houses, "b", False), ["k"])
+    house_by_code = coded.filter(_fits("state_a", "state_b") & one_code & (no_conflict | one_street)).filter(_names_alike()("building_a", "building_b"))
+    house = both_ways(by_house.select("site_a", "site_b", "core_a", "core_b").unionByName(house_by_code.select("site_a", "site_b", "core_a", "core_b")), "site", "core")
     house = stage(house.distinct(), "house-pairs")
     # A site known by its building alone stands where others put the building.
     lone = house.filter("core_a = '' and core_b != ''").select(F.col("site_a").alias("lone"), F.col("site_b").alias("site_a"))

@@ -240,3 +240,25 @@ def test_many_offices_of_one_building_lose_no_pair(spark):
     rows = [(f"k{i:03}", f"{'1288 Stoan St' if i % 3 else '1288 Stoan Street'} Ste {i % 30}", None, None, "Fort X" if i % 2 else "Ft. X", "VG", None) for i in range(120)]
     got = {tuple(r) for r in addresses.same_place_pairs(offices(spark, rows)).collect()}
     assert got == {(f"k{i:03}", f"k{j:03}") for i in range(120) for j in range(i + 1, 120) if i % 30 == j % 30}
+
+
+def test_no_city_and_a_slip_in_the_street_or_building(spark):
+    rows = [
+        ("a", "9288 Chendin Boulevard", None, "985", None, None, "00586"),
+        ("b", "9288 Cendin Boul", None, "Room 985", "Trimham", "VG", "00586"),
+        ("c", "9288 Chednin Blvd", None, None, "Trimham", "VG", "00568"),
+        ("d", "9288 Chendim Boulevard", None, None, "Trimham", "VG", None),
+        ("e", "9288 Chendin Boulevard", None, None, "Elsewhere", "VG", "00999"),
+        ("f", "9288 Chendim Boulevard", None, None, "Elsewhere", "JL", "00999"),
+        ("g", "9289 Cendin Boulevard", None, None, "Trimham", "VG", "00586"),
+        ("h", "77 Mank Street", None, None, None, "VG", None),
+        ("i", "77 Mani Street", None, None, "Ostley", "VG", "00111"),
+        ("j", "77 Mani Street", None, None, "Ostley", "JL", "00111"),
+        ("k", None, "Sluser Plaza", None, None, "VG", "00507"),
+        ("l", None, "Slusser Plaza", None, "Boassholm", "VG", "00507"),
+        ("m", None, "Sluser Plazza", None, "Boassholm", None, None),
+        ("n", None, "Slusser Plaza", None, "Boassholm", "VG", "00999"),
+    ]
+    got = {tuple(r) for r in addresses.same_place_pairs(offices(spark, rows)).collect()}
+    assert {p for p in got if p[0] in "ahk"} == {("a", "b"), ("a", "c"), ("a", "d"), ("h", "i"), ("k", "l"), ("k", "m")}
+    assert not {p for p in got if "g" in p or "f" in p and "a" in p}
