@@ -50,6 +50,9 @@ def _keys(row: object, left: bool) -> set[str]:
     start = int(row.first_year) if row.first_year and row.first_year > 0 else None
     initialled = any(len(n.first) < 2 for n in names)
     for last in lasts:
+        # A slip in the surname leaves it equal after a letter is left out; neither birth nor first year is needed.
+        slips = {last, *(last[:i] + last[i + 1 :] for i in range(len(last)))} if len(last) > 3 else set()
+        keys |= {f"Q|{x}|{f}|{s}" for x in slips for f in firsts for s in states}
         keys |= {f"A|{last}|{f}|{s}" for f in firsts for s in states}
         keys |= {f"B|{last}|{f}|{y}" for f in firsts for y in near}
         keys |= {f"C|{last}|{y}|{s}" for y in near for s in states}

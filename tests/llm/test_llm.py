@@ -3,6 +3,7 @@ from __future__ import annotations
 import base64
 import random
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -189,6 +190,16 @@ def test_matching_by_partial_noisy_attributes(spark):
     assert matching.match(people(spark, []), people(spark, right[:3])).count() == 0
 
 
+def test_a_slip_in_the_surname_needs_no_year():
+    def record(**facts):
+        return SimpleNamespace(**{"years": [], "states": ["QE"], "chambers": ["rep"], "last_year": None, "ids": [], **facts})
+
+    left = record(id="P1", names=["Pamela Z. Poarkez\tPoarkez"], first_year=1967)
+    for name in ("PAORKEZ, Pamela", "POARKZ, Pamela", "POARKKEZ, Pamela", "POARKIZ, Pamela"):
+        right = record(id="7", names=[name], years=[1905], first_year=1971)
+        assert matching._keys(left, True) & matching._keys(right, False)
+
+
 # Addresses
 
 
