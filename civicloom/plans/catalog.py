@@ -31,11 +31,18 @@ def plans_due(plans: DataFrame, cursors: DataFrame, now: Column, key: str = "pla
     return joined.filter(F.col(done).isNull() | (F.unix_timestamp(now) - F.unix_timestamp(done) >= F.col(cadence_days) * 86400))
 
 
-def linked_identifiers(pairs: DataFrame, rounds: int = 6) -> DataFrame:
-    """(id, root): ids joined by chains of pairs, each with the least id it reaches within ``rounds`` further steps."""
-    both = pairs.select(F.col("a"), F.col("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    reach = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root"))
-    for _ in range(rounds):
+def linked_identifiers(pairs: DataFrame) -> DataFrame:
+    """(id, root): ids joined by chains of pairs of any length, each with the least id it reaches.
+
+    Each round takes the least root among the neighbours and then the root of that root, until no root changes.
+    """
+    both = stage(pairs.select(F.col("a"), F.col("b")).unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    reach = stage(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("root")), "reach")
+    while True:
         onward = both.join(reach.select(F.col("a").alias("b"), F.col("root").alias("r")), "b").groupBy("a").agg(F.min("r").alias("r"))
-        reach = stage(reach.join(onward, "a", "left").select("a", F.least("root", F.coalesce("r", "root")).alias("root")), "reach")
-    return reach.select(F.col("a").alias("id"), "root")
+        nearer = reach.join(onward, "a", "left").select("a", F.col("root").alias("_old"), F.least("root", F.coalesce("r", "root")).alias("_near"))
+        jumped = nearer.join(reach.select(F.col("a").alias("_near"), F.col("root").alias("_far")), "_near", "left")
+        after = stage(jumped.select("a", "_old", F.least("_near", F.coalesce("_far", "_near")).alias("root")), "reach")
+        reach = after.select("a", "root")
+        if after.filter("root != _old").isEmpty():
+            return reach.select(F.col("a").alias("id"), "root")

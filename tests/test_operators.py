@@ -148,3 +148,10 @@ def test_stream_keeps_a_table(spark, tmp_path):
 
 def test_chains(spark):
     assert {tuple(r) for r in linked_identifiers(spark.createDataFrame([("a", "b"), ("b", "c"), ("d", "e")], "a string, b string")).collect()} == {("a", "a"), ("b", "a"), ("c", "a"), ("d", "d"), ("e", "d")}
+
+
+def test_linked_identifiers_over_a_long_chain(spark):
+    chain = spark.createDataFrame([(f"{i:02}", f"{i + 1:02}") for i in range(40)], "a string, b string")
+    assert {tuple(r) for r in linked_identifiers(chain).collect()} == {(f"{i:02}", "00") for i in range(41)}
+
+
