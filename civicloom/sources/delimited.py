@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from civicloom.functions.scalars import geography_of, guarded_int, number_or_null
 
+#: A matrix of columns of at most so many rows is broadcast.
+MATRIX_ROWS = 10_000
+
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ",", encoding: str = "UTF-8", lower: bool = True) -> DataFrame:
     """A file with a header, every column a string, names in lower case."""
@@ -55,10 +58,11 @@ def segment_values(geo: DataFrame, segment: DataFrame, matrix: DataFrame) -> Dat
     """Values of a numbered segment by the matrix of its columns.
 
     ``geo``: (logrecno, geoid). ``segment``: (logrecno, fields array). ``matrix``: (variable_id, table_id,
-    position from 0), small configuration. Joined on logrecno.
+    position from 0), broadcast up to MATRIX_ROWS rows and shuffled beyond. Joined on logrecno.
     """
     cells = segment.select("logrecno", F.posexplode("fields").alias("position", "text"))
-    placed = cells.join(F.broadcast(matrix.limit(10_000)), "position")
+    small = matrix.limit(MATRIX_ROWS + 1).count() <= MATRIX_ROWS
+    placed = cells.join(F.broadcast(matrix) if small else matrix.hint("shuffle_merge"), "position")
     return placed.join(geo.select("logrecno", "geoid"), "logrecno").select("geoid", "table_id", "variable_id", guarded_int(F.col("text")).alias("value"))
 
 

@@ -155,3 +155,12 @@ def test_linked_identifiers_over_a_long_chain(spark):
     assert {tuple(r) for r in linked_identifiers(chain).collect()} == {(f"{i:02}", "00") for i in range(41)}
 
 
+def test_segment_values_of_a_large_matrix(spark):
+    from civicloom.sources.delimited import segment_values
+
+    n = 10_500
+    geo = spark.createDataFrame([(1, "01")], "logrecno int, geoid string")
+    segment = spark.createDataFrame([(1, [str(i) for i in range(n)])], "logrecno int, fields array<string>")
+    matrix = spark.range(n).selectExpr("concat('v', id) AS variable_id", "'t' AS table_id", "cast(id AS int) AS position")
+    got = {r.variable_id: r.value for r in segment_values(geo, segment, matrix).collect()}
+    assert got == {f"v{i}": i for i in range(n)}
