@@ -186,9 +186,3 @@ def edit_distance(a: str, b: str, most: int = 99) -> int:
             row[j] = d
     return min(most, row[-1])
 
-
-def likeness(a: str, b: str) -> float:
-    """1 for equal strings down to 0, in tenths."""
-    if not a or not b:
-        return 0.0
-    return round(1 - edit_distance(a, b) / max(len(a), len(b)), 1)

@@ -14,6 +14,7 @@ from civicloom.session import table
 
 CAPACITY = 2048
 HARD_GRADE = 14.0
+MOST_STATES = 26 * 26 * 4
 LEAST_WORDS = 20
 
 
@@ -52,13 +53,16 @@ def p10_levels(spark: SparkSession, d: str) -> DataFrame:
 def state_codes(spark: SparkSession, d: str) -> dict[str, str]:
     """Letter code of each state by its name and its number (states are few: a code has two letters)."""
     states = table(spark, d, "tiger_feature").filter("layer = 'state'").select(F.get_json_object("raw", "$.STUSPS").alias("code"), F.lower("name").alias("name"), "state_fips").distinct()
-    rows = states.filter(F.length("code") == 2).limit(26 * 26 * 4).collect()
+    rows = states.filter(F.col("code").rlike("^[A-Z]{2}$")).limit(MOST_STATES + 1).collect()
+    if len(rows) > MOST_STATES:
+        raise ValueError("more spellings of states than two letters can have")
     return {k: r["code"] for r in rows for k in (r["name"], str(int(r["state_fips"])) if r["state_fips"] else None, r["code"].lower()) if k}
 
 
 def people(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """The people of both sources as records to match: by bioguide, and by icpsr."""
-    book = F.create_map(*[F.lit(x) for kv in state_codes(spark, d).items() for x in kv]) if state_codes(spark, d) else F.lit(None).cast("map<string,string>")
+    codes = state_codes(spark, d)
+    book = F.create_map(*[F.lit(x) for kv in codes.items() for x in kv]) if codes else F.lit(None).cast("map<string,string>")
     code = lambda c: F.try_element_at(book, F.lower(F.trim(c)))
     staged = table(spark, d, "legislator_stage").filter(F.col("bioguide").isNotNull())
     left = staged.groupBy(F.col("bioguide").alias("id")).agg(
