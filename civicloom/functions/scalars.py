@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 # Words of votes and results, and how the upper chamber prints document types.
 YES_WORDS = ["yea", "yes", "aye"]
 NO_WORDS = ["nay", "no"]
-PASS_WORDS = ["passed", "agreed to", "adopted", "confirmed"]
-FAIL_WORDS = ["failed", "rejected", "not agreed to", "defeated"]
+PASS_WORDS = ["passed", "agreed to", "adopted"]
+FAIL_WORDS = ["failed", "rejected", "not agreed to"]
 DOCUMENT_TYPES = {"H.R.": "hr", "S.": "s", "H.Res.": "hres", "S.Res.": "sres", "H.Con.Res.": "hconres", "S.Con.Res.": "sconres", "H.J.Res.": "hjres", "S.J.Res.": "sjres"}
 
 
@@ -32,6 +32,14 @@ def number_or_null(c: Column, markers: Sequence[str] = ("", "N", "NA", "N/A", ".
     return F.when(~t.isin(list(markers)), t).try_cast("decimal(38,9)")
 
 
+def number_or_reason(c: Column, markers: Sequence[str] = ("", "N", "NA", "N/A", ".", "-999999999")) -> tuple[Column, Column]:
+    """(the number a text is, the reason it is none): a missing marker has neither; other text has a reason, for a
+    load that refuses what it can't read."""
+    t = F.trim(c)
+    value = number_or_null(c, markers)
+    return value, F.when(t.isNotNull() & ~t.isin(list(markers)) & value.isNull(), F.concat(F.lit("not a number: "), t))
+
+
 def first_known(*columns: Column) -> Column:
     """The first value that isn't null or blank."""
     return F.coalesce(*[F.nullif(F.trim(c), F.lit("")) for c in columns])
@@ -48,11 +56,26 @@ def vote_position(raw: Column) -> Column:
     return F.when(w.isin(YES_WORDS), "yes").when(w.isin(NO_WORDS), "no").when(w == "not voting", "not voting").otherwise("other")
 
 
-def vote_result(raw: Column) -> Column:
-    """pass, fail or null for the outcome a text ends with; a "not" just before turns it."""
-    w = F.lower(F.trim(F.regexp_replace(raw, r"\s+", " ")))
-    negative = "(?:not agreed to|not adopted|not passed|not confirmed|rejected|failed|defeated)$"
-    return F.when(w.rlike(negative), "fail").when(w.rlike("(?:agreed to|confirmed|passed|adopted)$"), "pass")
+def house_result(raw: Column) -> Column:
+    """pass or fail where the whole text is a plain outcome; anything else (an election, "H R 5 passed") is null."""
+    w = F.lower(F.trim(raw))
+    return F.when(w.isin(PASS_WORDS), "pass").when(w.isin(FAIL_WORDS), "fail")
+
+
+def senate_result(raw: Column) -> Column:
+    """pass, fail or null for the outcome a text ends with; a "not" just before turns it.
+
+    "Not Guilty" and "Veto Sustained" are neither. The words are taken from the end, so what was decided may
+    be anything.
+    """
+    words = F.split(F.trim(F.lower(raw)), r"\s+")
+    tail = lambda n: F.array_join(F.slice(words, F.greatest(F.size(words) - n + 1, F.lit(1)), n), " ")
+    won = (F.element_at(words, -1).isin("confirmed", "passed", "adopted"), 1), (tail(2) == "agreed to", 2)
+    lost = F.element_at(words, -1).rlike("(?:rejected|failed|defeated)$")
+    out = F.when(raw.isNull(), None).when(lost, "fail")
+    for hit, n in won:
+        out = out.when(hit & (F.try_element_at(words, F.lit(-n - 1)) == "not"), "fail").when(hit, "pass")
+    return out
 
 
 def document_type(printed: Column) -> Column:
@@ -79,10 +102,10 @@ def slug(c: Column) -> Column:
 
 
 def geography_of(geo_id: Column) -> Column:
-    """struct(geography_type, geoid) of a summary-level id of a state or county, else null."""
-    shape = "^(040|050)[0-9]{4}US([0-9]+)$"
-    kind = F.when(F.regexp_extract(geo_id, shape, 1) == "040", "state").otherwise("county")
-    return F.when(geo_id.rlike(shape), F.struct(kind.alias("geography_type"), F.regexp_extract(geo_id, shape, 2).alias("geoid")))
+    """struct(geography_type, geoid) of a summary-level id of a state (two digits) or county (five), else null."""
+    code = F.substring_index(geo_id, "US", -1)
+    kind = F.when(geo_id.rlike("^040[0-9]{4}US[0-9]{2}$"), "state").when(geo_id.rlike("^050[0-9]{4}US[0-9]{5}$"), "county")
+    return F.when(kind.isNotNull(), F.struct(kind.alias("geography_type"), code.alias("geoid")))
 
 
 def term_place(chamber: Column, state: Column, district: Column, country: str = "ocd-division/country:us") -> Column:
@@ -103,11 +126,20 @@ def clerk_day(c: Column) -> Column:
 
 
 def eastern_stamp(c: Column) -> Column:
-    """UTC instant of "January 4, 2007, 02:05 PM" on the eastern clock."""
-    shape = r"(?i)^([a-z]+) (\d{1,2}), (\d{4}),? (\d{1,2}):(\d{2}) ?([ap]m)$"
-    part = lambda i: F.regexp_extract(c, shape, i)
-    text = F.concat_ws(" ", F.initcap(part(1)), part(2), part(3), F.concat(part(4), F.lit(":"), part(5)), F.upper(part(6)))
-    return F.when(c.rlike(shape), F.to_utc_timestamp(F.try_to_timestamp(text, F.lit("MMMM d yyyy h:mm a")), "America/New_York"))
+    """UTC instant of "January 4, 2007, 02:05 PM" on the eastern clock, with or without the second comma; else null.
+
+    The date parser decides: a text is read as it stands, and again with its spaces and letter case made even.
+    """
+    even = F.initcap(F.regexp_replace(F.regexp_replace(F.trim(c), r"\s+", " "), "(?i) ?([ap])m$", " $1m"))
+    even = F.regexp_replace(F.regexp_replace(even, " Am$", " AM"), " Pm$", " PM")
+    read = [F.try_to_timestamp(even, F.lit(p)) for p in ("MMMM d, yyyy, h:mm a", "MMMM d, yyyy h:mm a")]
+    return F.to_utc_timestamp(F.coalesce(*read), "America/New_York")
+
+
+def eastern_clock(day: Column, clock: Column) -> Column:
+    """UTC instant of a day and a time H:MM on the eastern clock; null where either is absent or no time."""
+    text = F.concat(F.date_format(day, "yyyy-MM-dd"), F.lit(" "), F.regexp_extract(clock, "^[0-9]{1,2}:[0-9]{1,2}", 0))
+    return F.to_utc_timestamp(F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:m")), "America/New_York")
 
 
 def month_start(year: Column, period: Column) -> Column:

@@ -1,8 +1,35 @@
-"""Well-known binary polygons to edges."""
+"""Well-known binary geometry: polygons to edges, rings to polygons, points."""
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Sequence
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
+
+Ring = Sequence[tuple[float, float]]
+
+
+def multipolygon(polygons: Sequence[Sequence[Ring]]) -> bytes:
+    """A MultiPolygon of polygons, each an outer ring and its holes, least byte first."""
+    out = [struct.pack("<BII", 1, 6, len(polygons))]
+    for rings in polygons:
+        out.append(struct.pack("<BII", 1, 3, len(rings)))
+        for ring in rings:
+            out.append(struct.pack(f"<I{2 * len(ring)}d", len(ring), *[v for p in ring for v in p]))
+    return b"".join(out)
+
+
+def _points(x: pd.Series, y: pd.Series) -> pd.Series:
+    return pd.Series([None if a != a or b != b else struct.pack("<BIdd", 1, 1, a, b) for a, b in zip(x.astype("float64"), y.astype("float64"))])
+
+
+def point_wkb(x: Column, y: Column) -> Column:
+    """A point, longitude first; null where either coordinate is."""
+    return F.pandas_udf(_points, BinaryType())(x.cast("double"), y.cast("double"))
 
 
 def polygon_edges(data: bytes) -> list[tuple[float, float, float, float]]:

@@ -12,6 +12,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
+
+from civicloom.operators.pick import distinct_on
 
 #: How a column is set where a row is already there.
 POLICIES = {"new", "old", "new_if_known", "old_if_known", "null", "merge", "add", "increment"}
@@ -33,9 +36,10 @@ def present(rows: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame
     return rows.join(known, _on(rows, known, keys), "left_semi")
 
 
-def insert_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The table plus the rows whose key it lacks."""
-    return table.unionByName(absent(rows.dropDuplicates(list(keys)), table, keys), allowMissingColumns=True)
+def insert_absent(table: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[Column] | None = None) -> DataFrame:
+    """The table plus the rows whose key it lacks; of several with one key the first by ``order``, by all columns if none is given."""
+    ordered = order or [F.asc_nulls_last(c) for c in rows.columns if c not in keys and not isinstance(rows.schema[c].dataType, (MapType, VariantType))]
+    return table.unionByName(absent(distinct_on(rows, keys, ordered or [F.lit(1)]), table, keys), allowMissingColumns=True)
 
 
 def upsert(table: DataFrame, rows: DataFrame, keys: Sequence[str], policy: dict[str, str] | None = None, default: str = "new") -> DataFrame:

@@ -33,7 +33,7 @@ def precedence_winner(assertions: DataFrame, ranking: DataFrame, display: DataFr
     """The winning assertion of each entity: first displayed kind, best rank, newest vintage, then ties.
 
     ``ranking`` has (kind, source, rank), ``display`` (kind, position); both are small configuration.
-    Assertions without a rank or place never win, so an unranked source can't slip in.
+    Assertions without a rank or place never win; ``resolved`` refuses to resolve at all while there are any.
     """
     ranked = assertions.join(ranking.select(kind, source, "rank"), [kind, source]).join(display.select(kind, "position"), kind)
     order = [F.asc_nulls_last("position"), F.asc_nulls_last("rank"), F.desc_nulls_last(vintage), F.asc_nulls_last(source), *[F.asc_nulls_last(t) for t in ties]]
@@ -58,3 +58,21 @@ def unranked(counts: DataFrame, ranking: DataFrame, display: DataFrame, kind: st
     out = flag(out, ranking, keys, "_all")
     reason = F.when(F.col("_s").isNull(), "dataset").when(F.col("_k").isNull() | F.col("_d").isNull(), "name_kind").when(F.col("_x").isNull(), "geography_type").otherwise("dataset_kind")
     return out.filter(F.col("_all").isNull() | F.col("_d").isNull()).withColumn("reason", reason).drop("_s", "_k", "_d", "_x", "_all")
+
+
+def resolved(assertions: DataFrame, ranking: DataFrame, display: DataFrame, entity: str, kind: str = "name_kind", source: str = "dataset_id", vintage: str = "source_vintage", ties: Sequence[str] = ()) -> DataFrame:
+    """``precedence_winner`` that fails closed: assertions no rank covers raise an error that names them, and nothing is resolved."""
+    counts = assertions.groupBy(source, kind).agg(F.count("*").alias("assertions"))
+    bad = unranked(counts, ranking, display, kind, source).orderBy(source, kind)
+    listed = bad.limit(21).collect()  # the message, not the data: counts per source and kind
+    if listed:
+        named = "; ".join(f"{r[source]} {r[kind]} ({r['assertions']}, {r['reason']})" for r in listed[:20])
+        raise ValueError(f"unranked assertions: {named}{' and more' if len(listed) > 20 else ''}")
+    return precedence_winner(assertions, ranking, display, entity, kind, source, vintage, ties)
+
+
+def required(df: DataFrame, what: str) -> DataFrame:
+    """``df``, unless it is empty: then an error that says what is lacking."""
+    if df.isEmpty():
+        raise ValueError(f"no {what}")
+    return df

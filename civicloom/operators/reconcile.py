@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -36,15 +36,42 @@ def tally_disagreements(rolls: DataFrame, votes: DataFrame, key: str, tallies: d
     return joined.filter(reduce(Column.__and__, needed)).filter(reduce(Column.__or__, differs))
 
 
-def fingerprint(df: DataFrame, columns: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
-    """(t, n, h): row count and md5 of the rows in order, as a database would write them; for small tables.
+#: A fingerprint gathers the text of so many rows in one value at most; larger tables are hashed by ranges.
+FINGERPRINT_ROWS = 20_000
 
-    The text is gathered into one value, so use ``content_hash`` for tables of any size.
+
+def fingerprint(df: DataFrame, columns: Sequence[str], order: Sequence[str], name: str, most_rows: int = FINGERPRINT_ROWS) -> DataFrame:
+    """(t, n, h): row count and md5 of the rows in order.
+
+    Up to ``most_rows`` rows the digest is that of the joined lines, as a database would write them. A larger table is cut
+    into blocks of ``most_rows`` rows by their rank, each block's digest is made where it is, and h is the digest
+    of the digests: no task holds more than a block.
     """
     line = F.concat_ws("|", *[F.col(c).cast("string") for c in columns])
-    rows = df.select(F.struct(*[F.col(c) for c in order], line.alias("_line")).alias("r"))
-    lines = F.transform(F.array_sort(F.collect_list("r")), lambda r: r["_line"])
-    return rows.agg(F.lit(name).alias("t"), F.count("*").alias("n"), F.md5(F.array_join(lines, "\n").cast("binary")).alias("h"))
+    rows = df.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order)], line.alias("_line"))
+    keys = [f"_o{i}" for i in range(len(order))]
+    total = rows.count()
+    blocks = _blocked(rows, keys, most_rows) if total > most_rows else rows.withColumn("_b", F.lit(0).cast("bigint"))
+    digest = lambda col: F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(col)), lambda r: r["_line"]), "\n").cast("binary"))
+    each = blocks.groupBy("_b").agg(F.count("*").alias("n"), digest(F.struct(*keys, "_line")).alias("_line"))
+    if total <= most_rows:
+        whole = each.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.max("_line").alias("h"))
+    else:
+        whole = each.agg(F.sum("n").alias("n"), digest(F.struct("_b", "_line")).alias("h"))
+    return whole.select(F.lit(name).alias("t"), "n", "h")
+
+
+def _blocked(rows: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """Rows with ``_b``, their rank by ``keys`` and line over ``size``: ranks are counted per range, so no window holds the table."""
+    sort = [*keys, "_line"]
+    ranged = rows.repartitionByRange(*sort).withColumn("_p", F.spark_partition_id())
+    from civicloom.session import stage
+
+    held = stage(ranged, "ranged")
+    before = held.groupBy("_p").agg(F.count("*").alias("_c"))
+    start = before.select("_p", (F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_c")).alias("_start"))  # one row per range
+    rank = F.row_number().over(Window.partitionBy("_p").orderBy(*sort)) - 1
+    return held.withColumn("_r", rank).join(F.broadcast(start), "_p").withColumn("_b", F.floor((F.col("_r") + F.col("_start")) / size)).drop("_p", "_r", "_start")
 
 
 def content_hash(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from civicloom.functions.scalars import geography_of, guarded_int, number_or_null
+from civicloom.functions.scalars import geography_of, guarded_int, number_or_null, number_or_reason
+from civicloom.operators.parsing import split_records
 
 #: A matrix of columns of at most so many rows is broadcast.
 MATRIX_ROWS = 10_000
@@ -45,13 +46,47 @@ def business_rows(stage: DataFrame) -> DataFrame:
 
 
 def survey_rows(df: DataFrame, geo_id: str, table_id: str) -> DataFrame:
-    """Estimates and margins from a wide survey table, long: states and counties only, markers null."""
+    """Estimates and margins from a wide survey table, long: states and counties only, markers null.
+
+    ``problem`` says where a cell is neither a number nor a marker; a load refuses the table if there is any.
+    """
     values = [c for c in df.columns if c != geo_id]
     place = geography_of(F.col(geo_id))
     cells = F.create_map(*[x for c in values for x in (F.lit(c), F.col(f"`{c}`").cast("string"))])
     listed = df.withColumn("_g", place).filter(F.col("_g").isNotNull()).select("_g.*", F.explode(cells).alias("field_id", "text"))
     measure = F.when(F.upper("field_id").rlike("_M[0-9]+$|_[0-9]+M$"), "margin_of_error").otherwise("estimate")
-    return listed.select("geography_type", "geoid", F.lit(table_id).alias("table_id"), "field_id", measure.alias("measure"), number_or_null(F.col("text")).alias("value"))
+    return listed.select("geography_type", "geoid", F.lit(table_id).alias("table_id"), "field_id", measure.alias("measure"), number_or_reason(F.col("text"))[0].alias("value"), number_or_reason(F.col("text"))[1].alias("problem"))
+
+
+def with_header(lines: DataFrame, sep: str = ",", lower: bool = True) -> tuple[DataFrame, DataFrame]:
+    """((archive, member, source_ordinal, raw map), refused lines) of members whose first line names their columns.
+
+    ``lines`` as ``archives.ZipLines`` gives them. A header with a blank or repeated name refuses its member, a line with
+    another number of fields itself. Quoted fields may hold separators and doubled quotes; lines end a record.
+    """
+    cut = split_records(lines.withColumn("line", F.regexp_replace("line", "^\ufeff", "")), "line", sep).withColumnRenamed("fields", "f")
+    named = F.transform("f", lambda x: F.trim(F.lower(x) if lower else x))
+    heads = cut.filter("source_ordinal = 1").select("archive", "member", named.alias("_names"))
+    good = (F.size(F.array_distinct("_names")) == F.size("_names")) & ~F.array_contains("_names", "")
+    rows = cut.filter("source_ordinal > 1").join(heads.withColumn("_ok", good), ["archive", "member"])
+    problem = F.when(~F.coalesce(F.col("_ok"), F.lit(False)), "header has an empty or repeated column").when(F.col("broken").isNotNull(), "broken quoting").when(F.size("f") != F.size("_names"), "ragged row")
+    marked = rows.withColumn("problem", problem)
+    kept = marked.filter("problem IS NULL").select("archive", "member", "source_ordinal", F.map_from_arrays("_names", "f").alias("raw"))
+    return kept, marked.filter("problem IS NOT NULL").select("archive", "member", "source_ordinal", "line", "problem")
+
+
+def record_type(member: Column) -> Column:
+    """Person or housing records by a microdata file's name: psam_p.., ss06p.. or csv_pus.., and the same with h; else null."""
+    name = F.lower(F.substring_index(member, "/", -1))
+    return F.when(name.rlike("^(psam_|ss[0-9]{2}|csv_)p"), "person").when(name.rlike("^(psam_|ss[0-9]{2}|csv_)h|^household"), "housing")
+
+
+def promoted_business(rows: DataFrame, geography: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(facts with geography_id, counts of codes without a place): a code of two digits is a state, of five a county."""
+    kind = F.when(F.length("geoid") == 2, "state").when(F.length("geoid") == 5, "county")
+    placed = rows.withColumn("geography_type", kind).join(geography.select("geography_id", "geography_type", "geoid"), ["geography_type", "geoid"], "left")
+    lost = placed.filter("geography_id IS NULL").groupBy("geoid").agg(F.count("*").alias("n"))
+    return placed.filter("geography_id IS NOT NULL").drop("geography_type", "geoid"), lost
 
 
 def segment_values(geo: DataFrame, segment: DataFrame, matrix: DataFrame) -> DataFrame:

@@ -140,6 +140,6 @@ def monthly_series(docs: DataFrame, body: str) -> DataFrame:
 
 def header_rows(docs: DataFrame, body: str, keys: list[str]) -> DataFrame:
     """(keys..., variable, text) of a JSON array of arrays whose first row names the columns."""
-    rows = docs.select(F.from_json(F.col(body), "array<array<string>>").alias("a")).select(F.get("a", F.lit(0)).alias("names"), F.explode(F.slice("a", 2, 1_000_000)).alias("row"))
+    rows = docs.select(F.from_json(F.col(body), "array<array<string>>").alias("a")).select(F.get("a", F.lit(0)).alias("names"), F.explode(F.slice("a", 2, F.greatest(F.size("a") - 1, F.lit(0)))).alias("row"))
     cells = rows.select(F.map_from_arrays("names", "row").alias("m"))
     return cells.select(*[F.col("m")[k].alias(k) for k in keys], F.explode(F.map_filter("m", lambda k, _: ~k.isin(keys))).alias("variable", "text"))
