@@ -7,6 +7,6 @@ from types import ModuleType
 
 def families() -> list[ModuleType]:
     """The modules of this package that register queries."""
-    from civicloom.queries import data_problems, reference
+    from civicloom.queries import civic, data_problems, reference
 
-    return [reference, data_problems]
+    return [reference, civic, data_problems]

@@ -224,3 +224,45 @@ ORACLE = {
         SELECT person_id, role, 'period' AS kind, strftime(a, '%Y-%m-%d') AS start_date, strftime(b, '%Y-%m-%d') AS end_date FROM p
         UNION ALL SELECT person_id, role, 'gap', strftime(b + 1, '%Y-%m-%d'), strftime(nxt - 1, '%Y-%m-%d') FROM g WHERE nxt IS NOT NULL""",
 }
+
+
+def _split_sql(table: str, sep: str, keep: str) -> str:
+    """The lines of a table cut into trimmed fields ``f``, null where the quoting is broken."""
+    s = "\\" + sep if sep == "|" else sep
+    one = f'"(?:[^"]|"")*"|[^"{s}][^{s}]*|'
+    return f"""SELECT {keep}, CASE WHEN regexp_full_match(raw || '{sep}', '(?s)(?:(?:{one}){s})+') THEN list_transform(regexp_extract_all(raw || '{sep}', '(?s)({one}){s}', 1),
+        lambda x: trim(CASE WHEN starts_with(x, '"') THEN replace(substr(x, 2, len(x) - 2), '""', '"') ELSE x END, ' ')) END AS f FROM {table}"""
+
+
+def _at(layouts: list[Layout], column: str) -> str:
+    """The field a column is at, by family."""
+    return "CASE " + " ".join(f"WHEN family = '{x.name}' THEN f[{x.columns.index(column) + 1}]" for x in layouts if column in x.columns) + " END"
+
+
+_FEC_SQL = f"""l AS ({_split_sql('fec_row', '|', 'artifact_id, source_ordinal, family, cycle')}), v AS (SELECT *, {_at(FEC_LAYOUTS, 'transaction_dt')} AS dt, {_at(FEC_LAYOUTS, 'transaction_amt')} AS amt, {_at(FEC_LAYOUTS, 'sub_id')} AS sub,
+    CASE family {' '.join(f"WHEN '{x.name}' THEN {len(x.columns)}" for x in FEC_LAYOUTS)} END AS n FROM l),
+    ok AS (SELECT *, coalesce(f IS NOT NULL AND (len(f) = n OR (len(f) = n + 1 AND f[n + 1] = '')) AND (dt = '' OR (regexp_full_match(dt, '[0-9]{{8}}') AND try_strptime(dt, '%m%d%Y') IS NOT NULL))
+      AND regexp_full_match(amt, '[+-]?([0-9]+(\.[0-9]{{0,2}})?|\.[0-9]{{1,2}})') AND regexp_full_match(sub, '[0-9]{{19}}'), false) AS good FROM v)"""
+_MEMBER_SQL = f"""m AS ({_split_sql('voteview_line', ',', 'artifact_id, source_ordinal')}), mok AS (SELECT *, coalesce(f IS NOT NULL AND len(f) = 13 AND regexp_full_match(f[1], '[0-9]+') AND regexp_full_match(f[3], '[0-9]+')
+      AND (f[10] = '' OR (regexp_full_match(f[10], '[0-9]{{4}}(\.0)?') AND try_cast(f[10] AS double) BETWEEN 1700 AND 2010)) AND (f[12] = '' OR (regexp_full_match(f[12], '[+-]?([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?') AND try_cast(f[12] AS double) BETWEEN -1 AND 1)), false) AS good FROM m)"""
+
+
+def _typed_sql(layout: Layout) -> str:
+    """The valid lines of a layout as typed columns."""
+    types = {"transaction_dt": "try_strptime(nullif({}, ''), '%m%d%Y')::date", "transaction_amt": "nullif({}, '')::decimal(18,2)"}
+    columns = ", ".join(types.get(c, "nullif({}, '')").format(f"f[{i}]") + f" AS {c}" for i, c in enumerate(layout.columns, 1))
+    return f"SELECT artifact_id, source_ordinal, family, cycle, {columns} FROM ok WHERE good AND family = '{layout.name}'"
+
+
+def _member_columns() -> str:
+    types = dict.fromkeys(("congress", "state_icpsr", "district_code", "party_code", "born", "died"), "try_cast(try_cast(nullif({}, '') AS double) AS int)") | dict.fromkeys(("nominate_dim1", "nominate_dim2"), "try_cast(nullif({}, '') AS double)")
+    return ", ".join(types.get(c, "nullif({}, '')").format(f"f[{i}]") + f" AS {c}" for i, c in enumerate(MEMBER, 1))
+
+
+ORACLE |= {
+    "p4_found": f"WITH {_FEC_SQL}, {_MEMBER_SQL} SELECT DISTINCT 'fec_row' AS table_name, artifact_id, source_ordinal FROM ok WHERE NOT good UNION SELECT DISTINCT 'voteview_line', artifact_id, source_ordinal FROM mok WHERE NOT good",
+    "p4_valid_contributions": f"WITH {_FEC_SQL} {_typed_sql(FEC_LAYOUTS[0])} UNION ALL {_typed_sql(FEC_LAYOUTS[1])}",
+    "p4_valid_to_candidates": f"WITH {_FEC_SQL} {_typed_sql(FEC_LAYOUTS[2])}",
+    "p4_valid_expenditures": f"WITH {_FEC_SQL} {_typed_sql(FEC_LAYOUTS[3])}",
+    "p4_valid_members": f"WITH {_MEMBER_SQL} SELECT artifact_id, source_ordinal, {_member_columns()} FROM mok WHERE good",
+}

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from civicloom.session import stage
 from civicloom.sources.rollcalls import parsed_documents, text, whole
 
 _LATEST = "latestAction:struct<actionDate:string,text:string>"
@@ -156,9 +157,7 @@ COLLECTIONS = {
 
 def status_tables(docs: DataFrame, key: str, xml: str) -> dict[str, DataFrame]:
     """The bill table, its eleven collections and the refused files, all of one parse of each document."""
-    from civicloom.session import stage
-
-    files = stage(bill_files(docs, key, xml), "bills")
+    files = bill_files(docs, key, xml)
     return {"bills": bills(files), **{n: f(files) for n, f in COLLECTIONS.items()}, "refused": files.filter("problem IS NOT NULL").select("key", "problem")}
 
 
@@ -175,6 +174,7 @@ def text_versions(docs: DataFrame, path: str, xml: str) -> DataFrame:
     schema = "struct<metadata:struct<dublinCore:struct<title:string,date:string>>,form:struct<`legis-num`:string,`official-title`:string,congress:string,session:string>>"
     plain = F.regexp_replace(bare, "(</?)(?:dc|dcterms):", "$1")
     rows = docs.select(F.col(path).alias("path"), name.alias("package_id"), part(1).cast("int").alias("congress"), part(2).alias("bill_type"), part(3).alias("bill_number"), part(4).alias("version_code"), F.from_xml(plain, schema).alias("d"), F.regexp_extract(bare, r"<\s*([A-Za-z-]+)", 1).alias("document_kind"), F.length(bare).alias("n_chars"))
+    rows = stage(rows, "texts")
     said = F.regexp_replace(F.lower(F.col("d.metadata.dublinCore.title")), "[^a-z0-9]+", "")
     stale = said.isNotNull() & ~F.contains(said, F.concat("bill_type", "bill_number"))
     problem = F.when(F.col("congress").isNull(), "name of another form").when(F.col("d").isNull(), "not well-formed")

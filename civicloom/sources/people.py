@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicloom.functions.scalars import ordinal, term_place
+from civicloom.session import stage
 from civicloom.sources.rollcalls import text
 
 PERSON = (
@@ -63,7 +64,7 @@ def people_records(records: DataFrame, record: str = "record") -> DataFrame:
 
     A guide is a letter and six digits; a lower-case letter counts.
     """
-    parsed = records.select(F.from_json(F.col(record), PERSON).alias("p")).withColumn("bioguide", F.upper(text(F.try_element_at("p.id", F.lit("bioguide")))))
+    parsed = stage(records.select(F.from_json(F.col(record), PERSON).alias("p")), "people").withColumn("bioguide", F.upper(text(F.try_element_at("p.id", F.lit("bioguide")))))
     n = parsed.groupBy("bioguide").count().filter("count > 1 AND bioguide IS NOT NULL").select("bioguide", F.lit(True).alias("_again"))
     problem = F.when(F.col("bioguide").isNull(), "no guide").when(~F.col("bioguide").rlike("^[A-Z][0-9]{6}$"), "malformed guide").when(F.col("_again"), "repeated guide")
     return parsed.join(n, "bioguide", "left").select("bioguide", "p", problem.alias("problem"))

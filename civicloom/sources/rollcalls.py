@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicloom.functions.scalars import clerk_day, document_type, eastern_clock, eastern_stamp, house_result, senate_result, vote_position
+from civicloom.session import stage
 
 _TOTALS = "`yea-total`:string,`nay-total`:string,`present-total`:string,`not-voting-total`:string"
 HOUSE = (
@@ -49,15 +50,20 @@ def root_name(xml: Column) -> Column:
 
 
 def parsed_documents(docs: DataFrame, key: str, xml: str, schema: str, root: str) -> DataFrame:
-    """(key, d, problem): each document under a schema; null, broken and other documents have a problem and no d."""
+    """(key, d, problem): each document under a schema; null, broken and other documents have a problem and no d.
+
+    Each document is parsed once and kept as nested columns, of which a later step reads those it needs; left in
+    one plan the parse would be repeated for every column that is taken from it.
+    """
     rows = docs.select(F.col(key).cast("string").alias("key"), F.col(xml).cast("string").alias("xml"))
-    read = rows.withColumn("d", F.from_xml("xml", f"struct<{_as_fields(schema)},_bad:string>", _OPTIONS)).withColumn("_root", root_name(F.col("xml")))
+    read = F.from_xml("xml", f"struct<{_as_fields(schema)},_bad:string>", _OPTIONS)
+    held = stage(rows.select("key", F.col("xml").isNull().alias("_none"), root_name(F.col("xml")).alias("_root"), read.alias("d")), "documents")
     problem = (
-        F.when(F.col("xml").isNull(), "no document")
+        F.when(F.col("_none"), "no document")
         .when(F.coalesce(F.col("_root"), F.lit("")) != root, F.concat(F.lit("root is "), F.coalesce("_root", F.lit("absent"))))
         .when(F.col("d").isNull() | F.col("d._bad").isNotNull(), "not well-formed")
     )
-    return read.select("key", F.when(problem.isNull(), F.col("d")).alias("d"), problem.alias("problem"))
+    return held.select("key", "d", problem.alias("problem"))
 
 
 def _as_fields(schema: str) -> str:
