@@ -11,16 +11,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from civicloom.session import stage
+
 #: Rated documents the ranker is fitted on at most (the least hashes of their ids), and pairs of them.
 MAX_RATED, MAX_PAIRS = 20_000, 200_000
-#: Words of the graded vocabulary at most, and documents a word must occur in.
-MAX_WORDS, LEAST_DOCS = 50_000, 3
-#: An ending that closes more than this share of the texts (and LEAST_ENDINGS of them) is a footer.
-ENDING_SHARE, LEAST_ENDINGS = 0.005, 8
-ENDING_CHARS = 400
+#: Rated documents a word of the graded vocabulary must occur in.
+LEAST_DOCS = 3
+#: An ending is a footer if it surely closes more than this share of the texts: its count less so many of its standard
+#: deviations. As a rule on the share it means the same in a corpus of any size.
+ENDING_SHARE, SURELY = 0.005, 2.0
+#: What ends a text besides its letters.
+_BLANKS = " \t\r\n\v\f"
 #: Words of a heading in capitals at most, and the share of lower-case letters under which a sentence is in capitals.
 HEADING_WORDS, LOWER_SHARE = 12, 0.1
 
@@ -195,23 +199,23 @@ def rank_weights(rows: np.ndarray, grades: np.ndarray, least: float = 1.0, pairs
     return w
 
 
-def _endings(text: Column) -> Column:
-    """The last line, the last sentence and the last two sentences of a text, letters only."""
-    tail = F.right(F.rtrim(F.regexp_replace(F.right(text, F.lit(2 * ENDING_CHARS)), r"\s+$", "")), F.lit(ENDING_CHARS))
-    line = F.element_at(F.split(tail, r"[\r\n]+", -1), -1)
-    parts = F.split(line, r"(?<=[.!?\])])\s+(?=[A-Z(])", -1)
-    letters = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z]", ""))
-    return F.array_distinct(F.array(letters(line), letters(F.element_at(parts, -1)), letters(F.array_join(F.slice(parts, F.greatest(F.lit(1), F.size(parts) - 1), 2), ""))))
-
-
 def frequent_endings(docs: DataFrame, text: str) -> frozenset[str]:
-    """Ends of texts that close so many of them that they are footers; at most 3 / ENDING_SHARE of them."""
-    ended = docs.filter(F.length(F.trim(text)) > 0)
-    counts = ended.select(F.explode(F.array_append(_endings(F.col(text)), F.lit("#"))).alias("e")).groupBy("e").agg(F.count("*").alias("n"))
+    """Ends of texts that close so many of them that they are footers; at most 3 / ENDING_SHARE of them.
+
+    The ends of a text are its last line, last sentence and last two sentences, letters only. Each step is a projection
+    of its own, so that none is computed again for each of the three.
+    """
+    lined = docs.select(F.rtrim(F.col(text), F.lit(_BLANKS)).alias("t")).filter("t <> ''")
+    last = lined.select(F.substring_index(F.substring_index("t", "\n", -1), "\r", -1).alias("line"))
+    cut = last.select(F.split("line", r"(?<=[.!?\])])\s++(?=[A-Z(])", -1).alias("p")).select(F.element_at("p", -1).alias("s"), F.try_element_at("p", F.lit(-2)).alias("r"), F.array_join(F.slice("p", 1, F.greatest(F.size("p") - 2, F.lit(0))), " ").alias("q"))
+    letters = lambda c: F.lower(F.regexp_replace(c, "[^A-Za-z]++", ""))
+    known = cut.select(letters("s").alias("s"), F.coalesce(letters("r"), F.lit("")).alias("r"), letters("q").alias("q"))
+    ends = F.array_distinct(F.array("s", F.concat("r", "s"), F.concat("q", "r", "s"), F.lit("#")))
+    counts = known.select(F.explode(ends).alias("e")).groupBy("e").agg(F.count("*").alias("n"))
     # Each text has three ends and one "#", so what a share of the texts ends with is among the first few.
     rows = {r["e"]: r["n"] for r in counts.orderBy(F.desc("n"), "e").limit(1 + math.ceil(3 / ENDING_SHARE)).collect()}
-    floor = max(LEAST_ENDINGS, ENDING_SHARE * rows.pop("#", 0))
-    return frozenset(e for e, n in rows.items() if n >= floor and e)
+    least = ENDING_SHARE * rows.pop("#", 0)
+    return frozenset(e for e, n in rows.items() if e and n - SURELY * n**0.5 >= least)
 
 
 def _words_of(docs: DataFrame, endings: frozenset[str]) -> DataFrame:
@@ -232,9 +236,10 @@ def fit(docs: DataFrame, ratings: DataFrame, key: str = "doc_id", text: str = "t
     endings = frequent_endings(docs.select(text), text)
     rated = ratings.filter(F.col(grade).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.avg(grade).alias("grade"), F.count("*").cast("int").alias("n"))
     rated = rated.orderBy(F.xxhash64("_k"), "_k").limit(max_rated)
-    sample = docs.select(F.col(key).alias("_k"), F.col(text).alias("text")).join(F.broadcast(rated), "_k").filter(F.length(F.trim("text")) > 0)
-    book_rows = _words_of(sample, endings).groupBy("word").agg(F.sum("grade").alias("g"), F.count("*").alias("n")).filter(F.col("n") >= LEAST_DOCS).orderBy(F.desc("n"), "word").limit(MAX_WORDS).collect()
-    book = {r["word"]: (r["g"], r["n"]) for r in book_rows}
+    rated = stage(rated, "rated")
+    sample = stage(docs.select(F.col(key).alias("_k"), F.col(text).alias("text")).join(F.broadcast(rated), "_k").filter(F.length(F.trim("text")) > 0), "sample")
+    book_rows = _words_of(sample, endings).groupBy("word").agg(F.sum("grade").alias("g"), F.count("*").alias("n")).filter(F.col("n") >= LEAST_DOCS).collect()
+    book = {r["word"]: (r["g"], r["n"]) for r in book_rows}  # of the rated sample, so as bounded as it
     mean = rated.agg(F.avg("grade")).first()[0] or 0.0
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
