@@ -167,11 +167,11 @@ def field_changes(releases: DataFrame, last_release: int, statistics: DataFrame
     return retyped.unionByName(renamed).unionByName(lone(goes, "old", "removed")).unionByName(lone(comes, "new", "added"))
 
 
-def field_lines(releases: DataFrame, changes: DataFrame, rounds: int = 5) -> DataFrame:
+def field_lines(releases: DataFrame, changes: DataFrame) -> DataFrame:
     """(dataset_id, release, field_id, item, item_type): the id a field has at last, through all renamings.
 
     Each unbroken stretch of releases under one id points to the stretch it was renamed to; pointers
-    are doubled ``rounds`` times, enough for 2**rounds renamings of a field. item_type is the type that
+    are doubled until none moves, so a field may be renamed any number of times. item_type is the type that
     holds all values of the item: its own, decimal for integers and decimals, else text.
     """
     w = Window.partitionBy("dataset_id", "field_id").orderBy("release")
@@ -182,10 +182,13 @@ def field_lines(releases: DataFrame, changes: DataFrame, rounds: int = 5) -> Dat
         "dataset_id", "field_id", "start", F.coalesce("to_id", "field_id").alias("to_id"), F.coalesce("to_start", "start").alias("to_start")
     )
     links = stage(links, "links")
-    for _ in range(rounds):
+    moved = True
+    while moved:
         onward = links.select("dataset_id", F.col("field_id").alias("to_id"), F.col("start").alias("to_start"), F.col("to_id").alias("end_id"), F.col("to_start").alias("end_start"))
-        doubled = links.join(onward, ["dataset_id", "to_id", "to_start"]).select("dataset_id", "field_id", "start", F.col("end_id").alias("to_id"), F.col("end_start").alias("to_start"))
-        links = stage(doubled, "links")  # a plan that joins itself would double each round
+        further = (F.col("end_id") != F.col("to_id")) | (F.col("end_start") != F.col("to_start"))
+        doubled = links.join(onward, ["dataset_id", "to_id", "to_start"]).select("dataset_id", "field_id", "start", F.col("end_id").alias("to_id"), F.col("end_start").alias("to_start"), further.alias("_moved"))
+        held = stage(doubled, "links")  # a plan that joins itself would double each round
+        moved, links = not held.filter("_moved").isEmpty(), held.drop("_moved")
     lines = spells.join(links, ["dataset_id", "field_id", "start"]).select("dataset_id", "release", "field_id", "type", F.col("to_id").alias("item"), F.col("to_start").alias("item_start"))
     kinds = lines.groupBy("dataset_id", "item", "item_start").agg(F.array_sort(F.collect_set("type")).alias("kinds"))
     held = F.when(F.size("kinds") == 1, F.get("kinds", F.lit(0))).when(F.array_except("kinds", F.array(F.lit("integer"), F.lit("decimal"))) == F.array().cast("array<string>"), "decimal").otherwise("text")

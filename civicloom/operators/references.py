@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from civicloom.functions.text import loose_key
 from civicloom.operators.membership_filter import build_filter, might_contain
 from civicloom.operators.skew import BROADCAST_ROWS, lookup_join
+from civicloom.session import stage
 
 #: Joins the parts of a composite key; it is white space to no one and occurs in no key.
 SEPARATOR = "\u0001"
@@ -48,7 +49,7 @@ def parent_keys(parent: DataFrame, columns: tuple[str, ...], loaded_at: str = "l
 def dangling(rows: DataFrame, parent: DataFrame, ref: Reference, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """The references of ``rows`` that don't hold: (table_name, column_name, record_id, period, reason).
 
-    A Bloom filter of the parent's keys, of bounded size, proves the definite orphans where they are
+    Bloom filters of the parent's keys, as many as the keys need within a bound, prove the definite orphans where they are
     read; only what it lets through is joined with the parent exactly. The reason is ``missing`` (no such
     key), ``deleted`` (only deleted rows have it) or ``late`` (loaded after the referring row).
 
@@ -56,7 +57,7 @@ def dangling(rows: DataFrame, parent: DataFrame, ref: Reference, broadcast_rows:
     parent rows with one key count as one: it is enough that one of them is alive in time. An empty
     parent makes every reference missing. Repeated rows give repeated results.
     """
-    parents = parent_keys(parent, ref.parent_columns)
+    parents = stage(parent_keys(parent, ref.parent_columns), "parents")
     n_parents = parents.count()
     known = F.lit(True)
     for c in ref.columns:
@@ -64,9 +65,9 @@ def dangling(rows: DataFrame, parent: DataFrame, ref: Reference, broadcast_rows:
     refs = rows.filter(known).select(
         F.col(ref.record_id).cast("string").alias("record_id"), _key(ref.columns).alias("ref_key"), F.col(ref.at).alias("at"), ref.period.cast("int").alias("period")
     )
-    bloom = build_filter(parents, "key", n_parents)
+    filters = build_filter(parents, "key", n_parents)
     # A definite orphan keeps a null key: it matches nothing and takes no part in a shuffle.
-    probed = refs.withColumn("key", F.when(might_contain(bloom, F.col("ref_key")), F.col("ref_key"))).drop("ref_key")
+    probed = refs.withColumn("key", F.when(might_contain(filters, F.col("ref_key")), F.col("ref_key"))).drop("ref_key")
     joined = lookup_join(probed, parents.withColumn("has_key", F.lit(True)), ["key"], n_parents, broadcast_rows)
     reason = (
         F.when(F.col("has_key").isNull(), "missing").when(F.col("live_from").isNull(), "deleted").when(F.col("live_from") > F.col("at"), "late")

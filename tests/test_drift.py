@@ -53,3 +53,11 @@ def test_one_table_with_failed_casts(spark):
     assert stats[(2011, "old_id")] == (2, 0, {"decimal": 1, "integer": 1}) and stats[(2013, "new_id")] == (1, 1, {"null": 1})
     wide = wide_path_values(spark.createDataFrame([(1, "a", 2.5)], "f int, x string, y double"), ["f"]).first().cells
     assert wide["y"].raw_type == "double" and wide["x"].value == "a"
+
+
+def test_a_field_may_be_renamed_any_number_of_times(spark):
+    n = 40
+    releases = spark.createDataFrame([("d", 1980 + i, f"f{i:02}", "integer") for i in range(n)], "dataset_id string, release int, field_id string, type string")
+    changes = spark.createDataFrame([("d", "renamed", f"f{i - 1:02}", f"f{i:02}", 1980 + i) for i in range(1, n)], "dataset_id string, change string, field_id string, new_field_id string, release_year int")
+    assert {r.item for r in field_lines(releases, changes).collect()} == {f"f{n - 1:02}"}
+    assert field_lines(releases.limit(0), changes).count() == 0

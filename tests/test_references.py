@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from civicloom.operators.membership_filter import build_filter, might_contain
 from civicloom.operators.references import Reference, dangling, dangling_counts
+from civicloom.operators.skew import block_join, salted_join
 
 T1, T2, T3 = datetime(2026, 1, 1), datetime(2026, 2, 1), datetime(2026, 3, 1)
 PARENT = "k string, loaded_at timestamp_ntz, deleted_at timestamp_ntz, extra int"
@@ -39,4 +40,23 @@ def test_filter_has_no_false_negatives(spark):
     assert keys.filter(might_contain(bloom, F.col("k"))).count() == 3000
     strangers = spark.range(3000).select(F.concat(F.lit("x"), "id").alias("k"))
     assert strangers.filter(might_contain(bloom, F.col("k"))).count() < 150
-    assert build_filter(keys.limit(0), "k", 0) is None
+    assert build_filter(keys.limit(0), "k", 0) == []
+
+
+def test_filters_grow_with_the_keys(spark):
+    keys = spark.range(3000).select(F.concat(F.lit("k"), "id").alias("k"))
+    filters = build_filter(keys, "k", 3000, filter_keys=400)
+    assert len(filters) == 8 and keys.filter(might_contain(filters, F.col("k"))).count() == 3000
+    strangers = spark.range(3000).select(F.concat(F.lit("x"), "id").alias("k"))
+    assert strangers.filter(might_contain(filters, F.col("k"))).count() < 150
+
+
+def test_joins_survive_hot_keys(spark):
+    left = spark.range(900).select(F.when(F.col("id") < 600, 0).otherwise(F.col("id")).alias("k"), F.col("id").alias("a"))
+    right = spark.range(0, 900, 3).select(F.col("id").alias("k"), (F.col("id") + 1).alias("b")).unionByName(spark.createDataFrame([(0, 7), (0, 8)], "k long, b long"))
+    want = sorted(map(tuple, left.join(right, "k").collect()))
+    assert sorted(map(tuple, salted_join(left, right, ["k"], 302, broadcast_rows=10).collect())) == want
+    assert sorted(map(tuple, salted_join(left.filter("k > 0"), right, ["k"], 302, broadcast_rows=10, hot_share=5).collect())) == sorted(x for x in want if x[0])
+    for rows in (10, 10_000):
+        assert sorted((r.k, r.a, r.b) for r in block_join(right, left, ["k"], block_rows=rows).collect()) == want
+    assert block_join(right, left.limit(0), ["k"]).count() == 0
