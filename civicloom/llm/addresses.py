@@ -17,8 +17,8 @@ from civicloom.llm.names import edit_distance, fold
 from civicloom.operators.skew import block_join
 from civicloom.session import stage
 
-#: Neighbours a key is compared with in each sorted pass, and range partitions of a pass.
-WINDOW, PARTITIONS = 12, 24
+#: Neighbours a key is compared with in each sorted pass, and sorted rows of a task.
+WINDOW, TASK_ROWS = 12, 4_000
 
 # Spellings of street types, directions, units and common words.
 STREET_TYPES = {
@@ -207,13 +207,16 @@ def places_of(rows: DataFrame, key: str, columns: dict[str, str], states: dict[s
     return chosen.mapInPandas(run, ", ".join(f"{c} string" for c in ["key", "number", "core", "direction", "kind", "unit", "building", "city", "zip", "state"])).distinct()
 
 
-def neighbours(keys: DataFrame, order: list[Column], window: int = WINDOW, partitions: int = PARTITIONS) -> DataFrame:
+def neighbours(keys: DataFrame, order: list[Column], window: int = WINDOW, partitions: int | None = None) -> DataFrame:
     """(a, b), a < b: the keys (name, place) alike among the ``window`` next in any of several orders.
 
     ``keys`` has k, number, name, place. ``order`` gives a sort key for each pass. All passes are one
-    range-partitioned sort; each task slides over its sorted rows, and what a window reaches over
-    the edge of a partition is compared in a second, small step. Numbers must be equal.
+    range-partitioned sort, with more partitions the more keys there are; each task slides over its sorted rows, and
+    what a window reaches over the edge of a partition is compared in a second, small step. Should a partition turn out
+    shorter than a window, which could then reach beyond it, the sort is done again with half of them. Numbers
+    must be equal.
     """
+    partitions = partitions or max(1, keys.count() * len(order) // TASK_ROWS)
     passes = keys.withColumn("_o", F.explode(F.array(*[F.concat(F.lit(f"{i}|"), o) for i, o in enumerate(order)])))
     ranged = passes.repartitionByRange(partitions, "_o", "k").sortWithinPartitions("_o", "k").select("_o", "k", "number", "name", "place")
 
@@ -238,7 +241,10 @@ def neighbours(keys: DataFrame, order: list[Column], window: int = WINDOW, parti
 
     columns = ["a", "b", "part", "rank", "o", "k", "rest", "side"]
     found = stage(ranged.mapInPandas(run, "a string, b string, part int, rank int, o string, k string, rest string, side string"), "windows")
-    heads = found.filter("side = 'h'").select((F.col("part") - 1).alias("part"), F.col("rank").alias("i"), F.col("o").alias("oh"), F.col("k").alias("kh"), F.col("rest").alias("rh"))
+    edges = found.filter("side = 'h'")
+    if partitions > 1 and edges.groupBy("part").count().agg(F.min("count"), F.count("*")).filter((F.col("min(count)") < window - 1) | (F.col("count(1)") < partitions)).count():
+        return neighbours(keys, order, window, partitions // 2)
+    heads = edges.select((F.col("part") - 1).alias("part"), F.col("rank").alias("i"), F.col("o").alias("oh"), F.col("k").alias("kh"), F.col("rest").alias("rh"))
     tails = found.filter("side = 't'").select("part", F.col("rank").alias("j"), F.col("o").alias("ot"), F.col("k").alias("kt"), F.col("rest").alias("rt"))
 
     @F.pandas_udf("boolean")
@@ -247,7 +253,7 @@ def neighbours(keys: DataFrame, order: list[Column], window: int = WINDOW, parti
 
     over = tails.join(heads, "part").filter(F.col("i") + F.col("j") < window - 1).filter(agree("oh", "kh", "rh", "ot", "kt", "rt"))
     inner = found.filter("part = -1").select("a", "b")
-    return inner.unionByName(over.select(F.least("kh", "kt").alias("a"), F.greatest("kh", "kt").alias("b"))).distinct()
+    return stage(inner.unionByName(over.select(F.least("kh", "kt").alias("a"), F.greatest("kh", "kt").alias("b"))).distinct(), "near")
 
 
 F_SEP = "\x1f"
@@ -268,6 +274,7 @@ def _key_pairs(keys: DataFrame, numbered: bool) -> DataFrame:
         F.concat(F.reverse("name"), sep, "number", sep, "place"),
         F.concat("name", sep, "number", sep, _sorted_letters(F.col("place"))),
     ]
+    keys = stage(keys, "keys")
     near = neighbours(keys, order if numbered else order[:3] + order[4:])
     return near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(keys.select(F.col("k").alias("a"), F.col("k").alias("b")))
 
@@ -321,7 +328,7 @@ def same_place_pairs(places: DataFrame) -> DataFrame:
     """
     site_columns = ["number", "core", "direction", "kind", "building", "city", "zip", "state"]
     rows = stage(places.withColumn("site", F.sha2(F.concat_ws("\x1f", *site_columns), 256)), "places")
-    sites = rows.select("site", *site_columns).distinct()
+    sites = stage(rows.select("site", *site_columns).distinct(), "sites")
     town = F.when(F.col("city") != "", F.col("city")).when(F.col("zip") != "", F.concat(F.lit("zip"), "zip")).otherwise("")
     streets = sites.filter("number != '' and core != ''").withColumn("place", town).withColumn("k", F.concat_ws(" ", "number", "core", "place"))
     houses = sites.filter("building != ''").withColumn("place", town).withColumn("k", F.concat_ws(" ", "building", "place"))
@@ -362,7 +369,7 @@ def same_place_pairs(places: DataFrame) -> DataFrame:
     linked = stage(reduce(DataFrame.unionByName, every).distinct(), "site-pairs")
 
     record = lambda s: rows.select(F.col("site").alias(f"site_{s}"), F.col("key").alias(f"key_{s}"), F.col("unit").alias(f"unit_{s}"))
-    left = block_join(record("a"), linked, ["site_a"])  # each record with the sites of its place
+    left = stage(block_join(record("a"), linked, ["site_a"]), "sited")  # each record with the sites of its place
     known = left.filter("unit_a != ''")
     right = record("b")
     exact = block_join(known.withColumnRenamed("unit_a", "unit"), right.filter("unit_b != ''").withColumnRenamed("unit_b", "unit"), ["site_b", "unit"]).select("key_a", "key_b")

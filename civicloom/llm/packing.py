@@ -23,8 +23,9 @@ def plan_bins(counts: dict[int, int], capacity: int) -> list[tuple[dict[int, int
     Best two fit. A bin is filled greedily, with the largest item left that fits, until none does. Then its
     smallest item gives way to the two unpacked items that together fill the widened gap most tightly,
     if they fill it better. Which bin comes out depends only on which sizes are left in what number, so as
-    many alike are closed at once as the numbers allow; each step uses up a size, so the steps are
-    as many as there are sizes, not as there are items.
+    many alike are closed at once as the numbers allow. Each step takes one size as often as it goes and leaves less
+    than half of what there was of it, less than capacity / size after the first time, so a size limits
+    log2(capacity) + 2 steps at most: the steps depend on the sizes, not on the number of items.
     """
     left = {s: n for s, n in counts.items() if 0 < s <= capacity and n > 0}
     sizes = np.array(sorted(left), dtype=np.int64)

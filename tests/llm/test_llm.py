@@ -328,3 +328,12 @@ def test_no_city_and_a_slip_in_the_street_or_building(spark):
     got = {tuple(r) for r in addresses.same_place_pairs(offices(spark, rows)).collect()}
     assert {p for p in got if p[0] in "ahk"} == {("a", "b"), ("a", "c"), ("a", "d"), ("h", "i"), ("k", "l"), ("k", "m")}
     assert not {p for p in got if "g" in p or "f" in p and "a" in p}
+
+
+def test_windows_reach_over_short_partitions(spark):
+    rows = [(f"{i:03} alpha{'x' * (i % 2)} town", "1", f"alpha{'x' * (i % 2)}", "town") for i in range(40)]
+    keys = spark.createDataFrame(rows, "k string, number string, name string, place string")
+    order = [F.concat("number", F.lit(" "), "k")]
+    want = {tuple(r) for r in addresses.neighbours(keys, order, partitions=1).collect()}
+    assert want and {tuple(r) for r in addresses.neighbours(keys, order, partitions=8).collect()} == want
+    assert {tuple(r) for r in addresses.neighbours(keys, order, partitions=3).collect()} == want
