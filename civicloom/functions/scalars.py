@@ -170,3 +170,27 @@ def web_query(text: Column, query: str) -> Column:
             hit = F.contains(low, F.lit(f" {term} "))
             current.append(~hit if minus else hit)
     return reduce(Column.__or__, [*alternatives, reduce(Column.__and__, current, F.lit(True))])
+
+
+def trigrams(text: Column) -> Column:
+    """The distinct three-character pieces of a text's words, each with two blanks before and one after, as trigram indexes have them."""
+    words = F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    pieces = lambda w: F.transform(F.sequence(F.lit(1), F.length(w) + 1), lambda i: F.substr(F.concat(F.lit("  "), w, F.lit(" ")), i, F.lit(3)))
+    return F.array_distinct(F.flatten(F.transform(words, pieces)))
+
+
+def trigram_similarity(a: Column, b: Column) -> Column:
+    """Shared trigrams of two texts over all of theirs; 0 where neither has any."""
+    x, y = trigrams(a), trigrams(b)
+    union = F.size(F.array_union(x, y))
+    return F.when(union > 0, F.size(F.array_intersect(x, y)) / union).otherwise(F.lit(0.0))
+
+
+def optional(c: Column, value: object) -> Column:
+    """The condition ``c = value``, or none where no value is given."""
+    return F.lit(True) if value is None else c == F.lit(value)
+
+
+def json_has_key(c: Column, key: str) -> Column:
+    """Whether a JSON object has a key, with whatever value."""
+    return F.coalesce(F.array_contains(F.json_object_keys(c), key), F.lit(False))

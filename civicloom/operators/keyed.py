@@ -130,3 +130,20 @@ def remap(rows: DataFrame, column: str, merged: DataFrame, duplicate: str, survi
 def replace_slice(df: DataFrame, path: str, slices: Sequence[str]) -> None:
     """Writes the slices that ``df`` has in place of those at ``path``; other slices stay untouched."""
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*slices).parquet(path)
+
+
+def replace_all(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """The arriving rows in the table's columns: what deleting everything and inserting them leaves."""
+    return table.limit(0).unionByName(rows, allowMissingColumns=True).select(*table.columns)
+
+
+def guarded_changes(before: DataFrame, after: DataFrame, keys: Sequence[str], guarded: Sequence[str], resolved: DataFrame) -> DataFrame:
+    """(keys..., column) of guarded columns that a step changed to anything but what the resolver says; no row means it may be written.
+
+    ``resolved``: (keys..., guarded...). A row the resolver doesn't have mustn't change; new rows count as changed from null.
+    """
+    b = before.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in guarded])
+    r = resolved.select(*keys, *[F.col(c).alias(f"_r_{c}") for c in guarded], F.lit(True).alias("_known"))
+    both = after.select(*keys, *guarded).join(b, list(keys), "left").join(r, list(keys), "left")
+    wrong = [F.when(~F.col(c).eqNullSafe(F.col(f"_b_{c}")) & ~(F.col("_known").isNotNull() & F.col(c).eqNullSafe(F.col(f"_r_{c}"))), c) for c in guarded]
+    return both.select(*keys, F.explode(F.array_compact(F.array(*wrong))).alias("column"))

@@ -3,11 +3,14 @@ whole driver tables: an order stands for a roll call or a bill, its items for th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from civicloom.operators import health, lifecycle, links, outside, pick
-from civicloom.plans import registry
+from civicloom.functions import scalars as S
+from civicloom.operators import health, keyed, lifecycle, links, outside, pick, reconcile
+from civicloom.plans import catalog, registry
 from civicloom.session import table as T
 from civicloom.sources import bills, people, rollcalls
 
@@ -567,3 +570,88 @@ def current_owner(s: SparkSession, d: str) -> DataFrame:
     """The newest owner of each guide."""
     rows = pick.required(T(s, d, "person_identifier").filter("namespace = 'bioguide'"), "guide")
     return pick.distinct_on(rows, ["external_id"], [F.desc_nulls_last("loaded_at"), F.asc("person_id")]).select("person_id", "external_id", "valid_from")
+
+
+# Predicates, arrays and JSON -------------------------------------------------------------------------------
+
+
+@query("""SELECT p_partkey FROM part WHERE p_name LIKE 'a%' UNION ALL SELECT p_partkey FROM part WHERE p_name ILIKE '%A%' AND p_type ILIKE '%tin%' UNION ALL SELECT p_partkey FROM part WHERE p_brand IN ('Brand#12', 'Brand#34') AND p_size NOT IN (1, 2, 3)""")
+def pattern_predicates(s: SparkSession, d: str) -> DataFrame:
+    """Prefix and case-blind patterns, membership in lists and its negation, an optional parameter that isn't given."""
+    p = T(s, d, "part").filter(S.optional(F.col("p_size"), None))
+    hits = [F.col("p_name").like("a%"), F.col("p_name").ilike("%A%") & F.col("p_type").ilike("%tin%"), F.col("p_brand").isin("Brand#12", "Brand#34") & ~F.col("p_size").isin(1, 2, 3)]
+    return reduce(DataFrame.unionByName, [p.filter(h).select("p_partkey") for h in hits])
+
+
+@query("""SELECT event_id, json_exists(props, '$.k') AS has_k, json_exists(props, '$.none') AS has_none, '{"event_type":"' || event_type || '","k":"' || (props->>'k') || '"}' AS built FROM events""")
+def json_objects(s: SparkSession, d: str) -> DataFrame:
+    """Keys of JSON objects, and objects built without their nulls."""
+    k = F.get_json_object("props", "$.k")
+    return T(s, d, "events").select("event_id", S.json_has_key(F.col("props"), "k").alias("has_k"), S.json_has_key(F.col("props"), "none").alias("has_none"), F.to_json(F.struct("event_type", k.alias("k"), F.lit(None).cast("string").alias("gone"))).alias("built"))
+
+
+@query("""SELECT user_id, '[' || string_agg('{"event_id":' || event_id || ',"event_type":"' || event_type || '"}', ',' ORDER BY event_id) || ']' AS listed FROM (SELECT * FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) <= 5) GROUP BY 1""")
+def newest_as_json(s: SparkSession, d: str) -> DataFrame:
+    """The five newest events of each user as a JSON list in order (the five are the feature, cut before they are gathered)."""
+    newest = Window.partitionBy("user_id").orderBy(F.desc("event_id"))
+    cut = T(s, d, "events").select("user_id", "event_id", "event_type").withColumn("_rn", F.row_number().over(newest)).filter("_rn <= 5")
+    return cut.groupBy("user_id").agg(F.to_json(F.sort_array(F.collect_list(F.struct("event_id", "event_type")))).alias("listed"))
+
+
+@query("""SELECT c_custkey AS k, list_transform(list_sort(map_keys(m)), lambda x: x || '=' || m[x])[1] AS first, array_to_string(list_transform(list_sort(map_keys(m)), lambda x: x || '=' || m[x]), ',') AS merged FROM (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN map {'a': 'old', 'c': 'kept'} WHEN c_custkey % 3 = 1 THEN map {'a': 'new', 'b': 'x', 'c': 'kept'} ELSE map {'a': 'new', 'b': 'x'} END AS m FROM customer)""")
+def upsert_merge(s: SparkSession, d: str) -> DataFrame:
+    """Maps merged on conflict: the arriving value wins key by key, the rest is kept."""
+    c = T(s, d, "customer").select(F.col("c_custkey").alias("k"))
+    old = c.filter("k % 3 < 2").withColumn("m", F.create_map(F.lit("a"), F.lit("old"), F.lit("c"), F.lit("kept")))
+    new = c.filter("k % 3 > 0").withColumn("m", F.create_map(F.lit("a"), F.lit("new"), F.lit("b"), F.lit("x")))
+    pairs = F.array_sort(F.transform(F.map_entries("m"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return keyed.upsert(old, new, ["k"], {"m": "merge"}).select("k", F.get(pairs, F.lit(0)).alias("first"), F.array_join(pairs, ",").alias("merged"))
+
+
+@query("SELECT n_nationkey, unnest([n_name, upper(n_name), NULL]) AS name, unnest([1, 2, 3]) AS place FROM nation")
+def parallel_arrays(s: SparkSession, d: str) -> DataFrame:
+    """Arrays side by side as rows."""
+    zipped = F.arrays_zip(F.array("n_name", F.upper("n_name"), F.lit(None).cast("string")).alias("name"), F.array(*[F.lit(i) for i in (1, 2, 3)]).alias("place"))
+    return T(s, d, "nation").select("n_nationkey", F.inline(zipped))
+
+
+@query("""SELECT p_partkey, (100 + p_size)::varchar AS congress, CASE p_partkey % 3 WHEN 0 THEN 'hr' WHEN 1 THEN 'sjres' END AS bill_type, CASE WHEN p_partkey % 3 < 2 THEN p_partkey::varchar END AS bill_number,
+    CASE WHEN p_size % 2 = 0 THEN p_size END::bigint AS whole, sha256(p_name) AS digest FROM part""")
+def domain_scalars(s: SparkSession, d: str) -> DataFrame:
+    """Bill keys from printed labels, strict whole numbers, digests."""
+    k = F.col("p_partkey")
+    label = F.when(k % 3 == 0, F.concat(F.lit(" HR 00"), k.cast("string"))).when(k % 3 == 1, F.concat(F.lit("sjres"), k.cast("string"))).otherwise(F.concat(F.lit("HB "), k.cast("string")))
+    key = S.bill_key((100 + F.col("p_size")).cast("string"), label)
+    number = F.concat(F.col("p_size").cast("string"), F.when(F.col("p_size") % 2 == 0, ".0").otherwise(".5"))
+    return T(s, d, "part").select("p_partkey", (100 + F.col("p_size")).cast("string").alias("congress"), key["bill_type"].alias("bill_type"), key["bill_number"].alias("bill_number"), S.strict_whole(number).alias("whole"), F.sha2("p_name", 256).alias("digest"))
+
+
+@query("""SELECT 'left' AS side, * FROM (SELECT l_suppkey, l_returnflag FROM lineitem WHERE l_quantity > 10 EXCEPT ALL SELECT l_suppkey, l_returnflag FROM lineitem WHERE l_quantity < 40) UNION ALL SELECT 'right', * FROM (SELECT l_suppkey, l_returnflag FROM lineitem WHERE l_quantity < 40 EXCEPT ALL SELECT l_suppkey, l_returnflag FROM lineitem WHERE l_quantity > 10)""")
+def multiset_difference(s: SparkSession, d: str) -> DataFrame:
+    """Rows one of two tables has more often."""
+    li = T(s, d, "lineitem")
+    return reconcile.multiset_difference(li.filter("l_quantity > 10").select("l_suppkey", "l_returnflag"), li.filter("l_quantity < 40").select("l_suppkey", "l_returnflag"))
+
+
+@query("""WITH n AS (SELECT n_name, regexp_split_to_array(lower(n_name), '[^a-z0-9]+') AS w FROM nation), t AS (SELECT DISTINCT n_name, substr('  ' || x || ' ', i, 3) AS g FROM (SELECT n_name, unnest(w) AS x FROM n), range(1, 60) r(i) WHERE x <> '' AND i <= length(x) + 1),
+    u AS (SELECT DISTINCT substr('  ' || x || ' ', i, 3) AS g FROM (VALUES ('united'), ('stats')) v(x), range(1, 20) r(i) WHERE i <= length(x) + 1)
+    SELECT n_name, round(count(*) FILTER (WHERE t.g IN (SELECT g FROM u)) / (count(*) + (SELECT count(*) FROM u) - count(*) FILTER (WHERE t.g IN (SELECT g FROM u))), 6) AS similarity FROM t GROUP BY 1""")
+def trigram_search(s: SparkSession, d: str) -> DataFrame:
+    """Trigram similarity to a misspelt name."""
+    return T(s, d, "nation").select("n_name", F.round(S.trigram_similarity(F.col("n_name"), F.lit("United Stats")), 6).alias("similarity"))
+
+
+@query("SELECT doc_id, source, row_number() OVER (ORDER BY source DESC NULLS LAST, doc_id)::int AS place FROM documents QUALIFY place <= 100")
+def search_page(s: SparkSession, d: str) -> DataFrame:
+    """The first hundred hits in the order of bytes, with their places (the limit is the feature)."""
+    hits, truncated = catalog.search(T(s, d, "documents").select("doc_id", "source"), F.lit(True), [F.desc("source"), F.asc("doc_id")], 100)
+    assert truncated.columns == ["truncated"]
+    return hits.withColumn("place", F.row_number().over(Window.orderBy(F.desc("source"), F.asc("doc_id"))))  # a hundred rows
+
+
+@query("SELECT c_custkey AS k, 'seg' AS column FROM customer WHERE c_custkey % 5 = 0 AND c_custkey % 10 <> 0")
+def guarded_changes(s: SparkSession, d: str) -> DataFrame:
+    """Columns that a step changed past the resolver."""
+    before = T(s, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("seg"))
+    after = before.withColumn("seg", F.when(F.col("k") % 5 == 0, F.lit("changed")).otherwise(F.col("seg")))
+    return keyed.guarded_changes(before, after, ["k"], ["seg"], after.filter("k % 10 = 0"))
