@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from civicloom.functions.wkb import polygon_edges
-from civicloom.operators.skew import BROADCAST_ROWS, block_join, salted_join
+from civicloom.operators.skew import BROADCAST_ROWS, block_join, lookup_join, salted_join
 from civicloom.session import stage
 
 EARTH_M = 6_371_008.8
@@ -18,6 +18,9 @@ EARTH_M = 6_371_008.8
 STRIP, CELL = 0.25, 1.0
 #: Edges kept in broadcast strips at most; more are joined by a salted shuffle.
 BROADCAST_EDGES = 500_000
+#: Edges of a region in one strip that are kept in one row; a strip with more is cut into blocks.
+BLOCK_EDGES = 2_000
+_STRIP = ["region", "shape", "strip"]
 
 
 def located(rows: DataFrame, key: str, lat: str, lon: str) -> DataFrame:
@@ -59,10 +62,11 @@ def near_pairs(points: DataFrame, metres: float) -> DataFrame:
     return pairs.filter(exact).select("key_a", "key_b").distinct()
 
 
-def region_strips(regions: DataFrame, region: str, geom: str) -> DataFrame:
-    """(region, strip, x_low, x_high, edges): the edges of each region in each latitude strip they touch.
+def region_strips(regions: DataFrame, region: str, geom: str, block_edges: int = BLOCK_EDGES) -> DataFrame:
+    """(region, shape, strip, block, x_low, x_high, edges): the edges of each region in each latitude strip they touch.
 
-    Equal shapes of a region count once. x_low and x_high bound the region in that strip.
+    Equal shapes of a region count once. A strip with more than ``block_edges`` edges is cut into blocks of about so many, so
+    no row holds more than about that. x_low and x_high bound the region in that block of the strip.
     """
     shapes = regions.filter(F.col(region).isNotNull() & F.col(geom).isNotNull()).select(F.col(region).alias("region"), F.col(geom).alias("geom")).withColumn("shape", F.sha2("geom", 256)).dropDuplicates(["region", "shape"])
 
@@ -71,33 +75,41 @@ def region_strips(regions: DataFrame, region: str, geom: str) -> DataFrame:
             out = [(r, s, *e) for r, s, g in zip(batch["region"], batch["shape"], batch["geom"]) for e in polygon_edges(bytes(g))]
             yield pd.DataFrame(out, columns=["region", "shape", "x1", "y1", "x2", "y2"])
 
-    listed = shapes.mapInPandas(edges, "region string, shape string, x1 double, y1 double, x2 double, y2 double")
+    listed = stage(shapes.mapInPandas(edges, "region string, shape string, x1 double, y1 double, x2 double, y2 double"), "edges")
     strip = lambda y: F.floor(y / STRIP).cast("int")
     cut = listed.withColumn("strip", F.explode(F.sequence(strip(F.least("y1", "y2")), strip(F.greatest("y1", "y2")))))
-    return cut.groupBy("region", "shape", "strip").agg(
+    sizes = cut.groupBy(*_STRIP).count()
+    if (sizes.agg(F.max("count")).first()[0] or 0) <= block_edges:
+        blocked = cut.withColumn("block", F.lit(0))
+    else:
+        large = stage(sizes.filter(F.col("count") > block_edges).select(*_STRIP, F.ceil(F.col("count") / block_edges).cast("int").alias("_n")), "large-strips")
+        known = lookup_join(cut, large, _STRIP, large.count())
+        blocked = known.withColumn("block", F.pmod(F.xxhash64("x1", "y1", "x2", "y2"), F.coalesce("_n", F.lit(1))).cast("int")).drop("_n")
+    return blocked.groupBy(*_STRIP, "block").agg(
         F.min(F.least("x1", "x2")).alias("x_low"), F.max(F.greatest("x1", "x2")).alias("x_high"), F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")
     )
 
 
-def containing_regions(points: DataFrame, regions: DataFrame, region: str, geom: str, broadcast_edges: int = BROADCAST_EDGES) -> DataFrame:
+def containing_regions(points: DataFrame, regions: DataFrame, region: str, geom: str, broadcast_edges: int = BROADCAST_EDGES, block_edges: int = BLOCK_EDGES) -> DataFrame:
     """(key, region): the regions whose shape contains each point of ``points`` (as ``located`` gives).
 
     Crossing parity. The edges of all rings are binned into latitude strips; a point meets the regions of
     its strip whose extent includes its longitude, and the crossings of the ray to its east with the
-    edges of one region are counted: odd is inside, so holes are outside and ring directions don't matter.
+    edges of one region are counted, over all blocks of the strip: odd is inside, so holes are outside and ring directions don't matter.
     An edge owns its lower end and not its upper, so a vertex counts once. A point exactly on an
     edge or vertex, of a hole too, counts as contained.
     """
-    strips = stage(region_strips(regions, region, geom), "region-strips")
-    measured = strips.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("n"), F.count("*").alias("rows")).first()
+    strips = stage(region_strips(regions, region, geom, block_edges), "region-strips")
+    measured = strips.agg(F.coalesce(F.sum(F.size("edges")), F.lit(0)).alias("n"), F.count("*").alias("rows"), F.coalesce(F.max("block"), F.lit(0)).alias("blocks")).first()
     small = measured["n"] <= broadcast_edges
     limit = measured["rows"] if small else -1
     cell = lambda x: F.floor(x / CELL).cast("int")
-    extents = strips.select("region", "shape", "strip", "x_low", "x_high", F.explode(F.sequence(cell(F.col("x_low")), cell(F.col("x_high")))).alias("cell"))
+    whole = strips.groupBy(*_STRIP).agg(F.min("x_low").alias("x_low"), F.max("x_high").alias("x_high")) if measured["blocks"] else strips
+    extents = whole.select(*_STRIP, "x_low", "x_high", F.explode(F.sequence(cell(F.col("x_low")), cell(F.col("x_high")))).alias("cell"))
     binned = points.withColumn("strip", F.floor(F.col("lat") / STRIP).cast("int")).withColumn("cell", cell(F.col("lon")))
     n_extents = extents.count()
     candidates = salted_join(binned, extents, ["strip", "cell"], n_extents, BROADCAST_ROWS if small else -1).filter(F.col("lon").between(F.col("x_low"), F.col("x_high"))).select("key", "lat", "lon", "region", "shape", "strip")
-    met = salted_join(candidates, strips.select("region", "shape", "strip", "edges"), ["region", "shape", "strip"], measured["rows"], limit)
+    met = salted_join(candidates, strips.select(*_STRIP, "edges"), _STRIP, measured["rows"], limit)
     px, py = F.col("lon"), F.col("lat")
 
     def crossing(e: Column) -> Column:
@@ -108,5 +120,8 @@ def containing_regions(points: DataFrame, regions: DataFrame, region: str, geom:
         within = px.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & py.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
         return within & ((e["x2"] - e["x1"]) * (py - e["y1"]) == (e["y2"] - e["y1"]) * (px - e["x1"]))
 
-    inside = (F.size(F.filter("edges", crossing)) % 2 == 1) | F.exists("edges", touching)
-    return met.filter(inside).select("key", "region").distinct()
+    crossings, touches = F.size(F.filter("edges", crossing)), F.exists("edges", touching)
+    if not measured["blocks"]:
+        return met.filter((crossings % 2 == 1) | touches).select("key", "region").distinct()
+    each = met.groupBy("key", "lat", "lon", "region", "shape").agg(F.sum(crossings).alias("n"), F.max(touches).alias("on"))
+    return each.filter((F.col("n") % 2 == 1) | F.col("on")).select("key", "region").distinct()

@@ -47,7 +47,8 @@ def test_regions_with_holes_parts_and_boundaries(spark):
     p = spark.createDataFrame([(k, float(a), float(b)) for k, (a, b) in points.items()], "key string, lat double, lon double")
     want = {("in", "holed"), ("in", "parts"), ("hole", "parts"), ("second", "parts"), ("vertex", "holed"), ("vertex", "parts"), ("edge", "holed"), ("edge", "parts"), ("rim", "holed"), ("rim", "parts")}
     for limit in (500_000, 0):
-        assert {tuple(x) for x in containing_regions(p, r, "region", "geom", limit).collect()} == want
+        for block in (2_000, 2):
+            assert {tuple(x) for x in containing_regions(p, r, "region", "geom", limit, block).collect()} == want
     assert containing_regions(p, r.limit(0), "region", "geom").count() == 0
     assert len(polygon_edges(regions[0][1])) == 8
 
