@@ -210,11 +210,15 @@ def menu_problems(rolls: DataFrame, menu: DataFrame) -> DataFrame:
 def link_bills(rolls: DataFrame, bills: DataFrame) -> DataFrame:
     """Rolls with ``bill_id`` set where it is null and the bill their document names is known; others stay as they are.
 
-    ``bills``: (bill_id, congress, bill_type, bill_number), unique on the last three.
+    ``rolls`` as ``senate_rolls`` gives them. ``bills``: (bill_id, congress, bill_type, bill_number), unique on the
+    last three. Both sides are always shuffled: where bills are made by a generator, the planner's guess of their
+    size is too low by its factor, and it would broadcast millions. Rolls that name no bill are dealt by their own key.
     """
-    named = bills.select(F.col("bill_id").alias("_bill"), F.col("congress").cast("int").alias("link_congress"), F.col("bill_type").alias("link_bill_type"), F.col("bill_number").cast("string").alias("link_bill_number"))
-    out = rolls.join(named, ["link_congress", "link_bill_type", "link_bill_number"], "left")
-    return out.withColumn("bill_id", F.coalesce("bill_id", "_bill") if "bill_id" in rolls.columns else F.col("_bill")).drop("_bill")
+    named = bills.select(F.col("bill_id").alias("_bill"), F.col("congress").cast("int").alias("_congress"), F.col("bill_type").alias("_type"), F.col("bill_number").cast("string").alias("_number"))
+    kind = F.when(F.col("link_bill_number").isNotNull(), F.col("link_bill_type"))  # null matches nothing, whatever stands beside it
+    number = F.coalesce("link_bill_number", F.col("key").cast("string"))
+    out = rolls.join(named.hint("shuffle_merge"), (F.col("link_congress") == F.col("_congress")) & (kind == F.col("_type")) & (number == F.col("_number")), "left")
+    return out.withColumn("bill_id", F.coalesce("bill_id", "_bill") if "bill_id" in rolls.columns else F.col("_bill")).drop("_bill", "_congress", "_type", "_number")
 
 
 def link_outside_rolls(outside: DataFrame, official: DataFrame) -> DataFrame:

@@ -70,6 +70,28 @@ def test_senate_rolls_and_their_bills(spark):
     assert {r.roll_number: r.problems for r in rollcalls.menu_problems(rolls.filter("key = 'a'"), listed).collect()} == {54: ["yeas"], 55: ["no file"]}
 
 
+def test_bills_of_any_number_are_linked_by_a_shuffle(spark):
+    c = F.col("id")
+    rolls = spark.range(900).select(
+        c.cast("string").alias("key"), F.when(c % 3 < 2, (100 + c % 20).cast("int")).alias("link_congress"),
+        F.when(c % 3 == 0, "hr").when(c % 3 == 1, "sjres").alias("link_bill_type"), F.when((c % 3 < 2) & (c != 6), c.cast("string")).alias("link_bill_number"), F.when(c == 3, "own").alias("bill_id"),
+    )
+    of = spark.range(0, 900, 2).select(F.concat(F.lit("B"), c).alias("bill_id"), F.explode(F.sequence(F.lit(100), F.lit(119))).alias("congress"), F.lit("hr").alias("bill_type"), c.alias("bill_number"))
+    linked = rollcalls.link_bills(rolls, of)
+    assert {r.key: r.bill_id for r in linked.collect()} == {str(i): "own" if i == 3 else f"B{i}" if i % 6 == 0 and i != 6 else None for i in range(900)}
+    assert linked.count() == 900 and set(linked.columns) == set(rolls.columns)
+    plan = linked._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    # The rolls that name no bill don't share a task.
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        tasks = rollcalls.link_bills(rolls, of).filter("link_bill_type IS NULL").select(F.spark_partition_id().alias("at")).distinct().count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+    assert tasks > 1
+
+
 def test_results_of_both_chambers(spark):
     words = ["Amendment Not Adopted", "Motion Agreed to", "Motion Not  Agreed to", "not agreed to", "Not Guilty", "Cloture Rejected", "passed", "H R 5 passed", "Veto Sustained", "", None]
     df = spark.createDataFrame([(i, w) for i, w in enumerate(words)], "i int, w string")
